@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import mimetypes
 from datetime import datetime
 
@@ -38,8 +39,8 @@ def with_top_folder(files: DataFrame) -> DataFrame:
 
 def mime_table(files: DataFrame) -> DataFrame:
     """The standard extension table of the Python library: about 170 rows, a fixed size."""
-    known = mimetypes.MimeTypes().types_map[True]
-    return files.sparkSession.createDataFrame(sorted(known.items()), "mime_extension string, mime_type string")
+    known = F.from_json(F.lit(json.dumps(mimetypes.MimeTypes().types_map[True])), "map<string,string>")
+    return files.sparkSession.range(1).select(F.explode(known).alias("mime_extension", "mime_type"))
 
 
 def with_mime_type(files: DataFrame, path: str = PATH) -> DataFrame:

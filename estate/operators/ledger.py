@@ -161,7 +161,9 @@ def run_summary(ledger: DataFrame, total_files: int | Column) -> DataFrame:
 # --- snapshots of whole ledgers ---------------------------------------------
 def select_best(candidates: DataFrame, source: tuple[str, ...] = ("source_id",)) -> DataFrame:
     """Per source, the first readable candidate by priority, then the newest backup."""
-    ranked = F.struct(F.col("priority"), -F.unix_micros(F.col("backup_ts").cast("timestamp")), F.col("candidate_id"))
+    # counts down with time: the newest backup has the smallest value
+    age = F.timestamp_diff("MICROSECOND", F.col("backup_ts"), measures.timestamp("1970-01-01"))
+    ranked = F.struct(F.col("priority"), age, F.col("candidate_id"))
     rest = [c for c in candidates.columns if c not in source]
     best = (
         candidates.filter(~F.col("is_corrupt"))

@@ -12,15 +12,34 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate.functions.measures import ratio
+from estate.functions.measures import ratio, timestamp
 from estate.operators.ledger import SUCCESS, is_skipped
 from estate.operators.logs import parse_log
 from estate.sources.sinks import append_ledger
 
 
 def stream_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table as a stream of its files."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    """A Parquet table as a stream of its files.
+
+    The path is written as a pattern matching only itself, which the file source accepts
+    for a folder and for a single file.
+    """
+    itself = f"{path[:-1]}[{path[-1]}]"
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(itself)
+
+
+_EPOCH = "1970-01-01"
+
+
+def _timed(outcomes: DataFrame, late: str) -> DataFrame:
+    """Watermarks need instants: event times without a zone are read as UTC."""
+    micros = F.timestamp_diff("MICROSECOND", timestamp(_EPOCH), F.col("event_ts"))
+    return outcomes.withColumn("event_ts", F.timestamp_micros(micros)).withWatermark("event_ts", late)
+
+
+def _wall(instant: Column) -> Column:
+    """Back to a time without zone."""
+    return timestamp(_EPOCH) + (instant - F.timestamp_seconds(F.lit(0)))
 
 
 def log_events(lines: DataFrame) -> DataFrame:
@@ -31,7 +50,7 @@ def log_events(lines: DataFrame) -> DataFrame:
 def throughput(outcomes: DataFrame, width: str = "5 seconds", late: str = "10 minutes") -> DataFrame:
     """Files and bytes per tumbling window and status."""
     return (
-        outcomes.withWatermark("event_ts", late)
+        _timed(outcomes, late)
         .groupBy(F.window("event_ts", width), "status")
         .agg(F.count(F.lit(1)).alias("files"), F.sum("size_bytes").alias("bytes"))
         .select(*_bounds(), "status", "files", "bytes")
@@ -43,7 +62,7 @@ def sliding_error_rate(
 ) -> DataFrame:
     """Error rate per sliding window.  ``alerting`` selects the windows above a threshold."""
     return (
-        outcomes.withWatermark("event_ts", late)
+        _timed(outcomes, late)
         .groupBy(F.window("event_ts", width, slide))
         .agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("status") != SUCCESS).alias("failed"))
         .select(*_bounds(), "files", "failed", F.round(ratio(F.col("failed"), F.col("files"), 100.0), 6).alias("error_rate"))
@@ -56,21 +75,26 @@ def alerting(rates: DataFrame, above: float = 10.0) -> DataFrame:
 
 def dedupe_ledger(outcomes: DataFrame, late: str = "10 minutes") -> DataFrame:
     """First outcome per path and status within the watermark."""
-    return outcomes.withWatermark("event_ts", late).dropDuplicatesWithinWatermark(["path", "status"])
+    return _timed(outcomes, late).dropDuplicatesWithinWatermark(["path", "status"])
 
 
-def idle_sessions(outcomes: DataFrame, gap: str = "30 seconds", late: str = "10 minutes") -> DataFrame:
-    """Activity sessions; a gap without outcomes ends one."""
+def idle_sessions(outcomes: DataFrame, gap: str = "30 seconds", late: str = "10 minutes", key: str = "run_id") -> DataFrame:
+    """Activity sessions per run; a gap without outcomes ends one.
+
+    Sessions are merged within each input partition first, so a busy run reaches its
+    state with few rows.
+    """
+    outcomes.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return (
-        outcomes.withWatermark("event_ts", late)
-        .groupBy(F.session_window("event_ts", gap).alias("window"))
+        _timed(outcomes, late)
+        .groupBy(F.session_window("event_ts", gap).alias("window"), key)
         .agg(F.count(F.lit(1)).alias("files"), F.count_if((F.col("status") == SUCCESS) & ~is_skipped()).alias("downloaded"))
-        .select(*_bounds(), "files", "downloaded")
+        .select(key, *_bounds(), "files", "downloaded")
     )
 
 
 def _bounds() -> list[Column]:
-    return [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
+    return [_wall(F.col("window.start")).alias("window_start"), _wall(F.col("window.end")).alias("window_end")]
 
 
 # --- sinks ------------------------------------------------------------------
