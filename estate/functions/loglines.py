@@ -16,11 +16,6 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _group(line: Column, pattern: str, i: int) -> Column:
-    """Captured group, null when the pattern does not match."""
-    return F.when(F.rlike(line, F.lit(pattern)), F.regexp_extract(line, pattern, i))
-
-
 def strip(line: Column | str) -> Column:
     return F.regexp_replace(_col(line), r"^\s+|\s+$", "")
 
@@ -36,7 +31,8 @@ def log_level(line: Column | str) -> Column:
 
 def event_type(line: Column | str) -> Column:
     text = _col(line)
-    return first_match([(F.rlike(text, F.lit(p)), name) for name, p in rules.LOG_EVENTS], "unknown")
+    tests = [(F.contains(text, F.lit(rules.LOG_EVENT_TEXT[k])) & F.rlike(text, F.lit(p)), k) for k, p in rules.LOG_EVENTS]
+    return first_match(tests, "unknown")
 
 
 def event_fields(line: Column | str, kind: Column | str = "event_type", failed_mode: str = "greedy") -> dict[str, Column]:
@@ -49,7 +45,7 @@ def event_fields(line: Column | str, kind: Column | str = "event_type", failed_m
     failed = _PATTERN["download_failed"] if failed_mode == "greedy" else rules.LOG_FAILED_FIRST_COLON
 
     def take(name: str, i: int, pattern: str | None = None) -> Column:
-        return F.when(k == name, _group(text, pattern or _PATTERN[name], i))
+        return F.when(k == name, F.regexp_extract(text, pattern or _PATTERN[name], i))
 
     return {
         "current": take("turbo_progress", 1).try_cast("bigint"),

@@ -20,8 +20,19 @@ def timestamp(value: datetime | str | Column) -> Column:
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:
-    """Elapsed seconds with their fraction."""
-    return F.timestamp_diff("MICROSECOND", earlier, later) / F.lit(1_000_000)
+    """Elapsed seconds with their fraction; the session time zone plays no part."""
+    return (later - earlier).cast("interval second").cast("decimal(18,6)").cast("double")
+
+
+def instant(wall: Column) -> Column:
+    """A time without zone read as UTC, for operators that need an instant."""
+    return F.timestamp_micros(F.round(seconds_between(wall, timestamp("1970-01-01")) * 1_000_000).cast("bigint"))
+
+
+def wall(at: Column) -> Column:
+    """The time without zone of an instant, in UTC."""
+    seconds = (F.unix_micros(at) / 1_000_000).cast("decimal(18,6)")
+    return timestamp("1970-01-01") + F.make_dt_interval(secs=seconds)
 
 
 def mb(size: Column | str) -> Column:

@@ -25,14 +25,16 @@ def file_name(path: Column | str) -> Column:
 def parent_dir(path: Column | str) -> Column:
     """Folder of a file, ``.`` for files at the root."""
     p = _col(path)
-    return F.when(F.contains(p, F.lit("/")), F.regexp_replace(p, "/[^/]*$", "")).otherwise(
-        F.when(p.isNotNull(), F.lit(ROOT_DIRECTORY))
-    )
+    above = F.left(p, F.length(p) - F.length(file_name(p)) - 1)
+    return F.when(F.contains(p, F.lit("/")), above).when(p.isNotNull(), F.lit(ROOT_DIRECTORY))
 
 
 def extension(name: Column | str) -> Column:
     """Lower-case suffix with its dot; empty for dot-files and trailing dots."""
-    return F.lower(F.regexp_extract(_col(name), r"^\.*[^.].*(\.[^.]+)$", 1))
+    bare = F.ltrim(_col(name), F.lit("."))
+    last = F.substring_index(bare, ".", -1)
+    has_suffix = F.contains(bare, F.lit(".")) & (last != "")
+    return F.when(has_suffix, F.lower(F.concat(F.lit("."), last))).when(bare.isNotNull(), F.lit(""))
 
 
 def extension_label(name: Column | str) -> Column:

@@ -87,7 +87,7 @@ DOWNLOAD_FAILED = "Download failed"
 # --- Fixed values: log line formats ----------------------------------------
 LOG_TIMESTAMP = r"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})"
 LOG_LEVEL = r"- (INFO|WARNING|ERROR|DEBUG) -"
-# tried in this order, first match names the event
+# (event type, pattern), tried in this order, first match names the event
 LOG_EVENTS = [
     ("turbo_progress", r"🔥 TURBO Progress: (\d+)/(\d+) \((\d+\.?\d*)%\) - (\d+) new downloads"),
     ("speed", r"🚀 Speed: ([\d\.]+) files/sec"),
@@ -99,6 +99,18 @@ LOG_EVENTS = [
     ("turbo_mode", r"🚀 TURBO MODE: Using (\d+) parallel workers"),
     ("resume", r"📂 TURBO: Resuming from file (\d+)/(\d+)"),
 ]
+# plain text every match of the pattern holds: a cheap test before the pattern
+LOG_EVENT_TEXT = {
+    "turbo_progress": "TURBO Progress: ",
+    "speed": " Speed: ",
+    "eta": "ETA: ",
+    "download_success": " Downloaded: ",
+    "download_failed": " failed for ",
+    "auth_token": "Authenticating",
+    "folder_processing": " Processing folder: ",
+    "turbo_mode": " TURBO MODE: Using ",
+    "resume": " TURBO: Resuming from file ",
+}
 # corrected reading of failure lines: the file ends at the first ": "
 LOG_FAILED_FIRST_COLON = r"❌ (.+?) failed for (.+?): (.+)"
 MESSAGE_CHARS = 100

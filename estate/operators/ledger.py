@@ -162,7 +162,7 @@ def run_summary(ledger: DataFrame, total_files: int | Column) -> DataFrame:
 def select_best(candidates: DataFrame, source: tuple[str, ...] = ("source_id",)) -> DataFrame:
     """Per source, the first readable candidate by priority, then the newest backup."""
     # counts down with time: the newest backup has the smallest value
-    age = F.timestamp_diff("MICROSECOND", F.col("backup_ts"), measures.timestamp("1970-01-01"))
+    age = measures.seconds_between(measures.timestamp("1970-01-01"), F.col("backup_ts"))
     ranked = F.struct(F.col("priority"), age, F.col("candidate_id"))
     rest = [c for c in candidates.columns if c not in source]
     best = (
@@ -268,7 +268,7 @@ def error_feed(structured: DataFrame, bare_paths: DataFrame, error_count: DataFr
         F.lit("download_failure").alias("type"),
         F.coalesce("path", unknown).alias("file"),
         F.coalesce("error", F.lit(rules.UNKNOWN_ERROR)).alias("error"),
-        F.coalesce(F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss"), unknown).alias("timestamp"),
+        F.coalesce(F.left(F.col("event_ts").cast("string"), F.lit(19)), unknown).alias("timestamp"),
     )
     two = bare_paths.select(
         F.lit("download_failure").alias("type"),
@@ -280,6 +280,6 @@ def error_feed(structured: DataFrame, bare_paths: DataFrame, error_count: DataFr
         F.lit("system_error").alias("type"),
         F.lit("Multiple files").alias("file"),
         F.concat(F.col("error_count").cast("string"), F.lit(" errors encountered during download")).alias("error"),
-        F.date_format(measures.timestamp(as_of), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        F.left(measures.timestamp(as_of).cast("string"), F.lit(19)).alias("timestamp"),
     )
     return one.unionByName(two).unionByName(three)

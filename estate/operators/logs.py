@@ -112,7 +112,7 @@ def log_hourly(events: DataFrame) -> DataFrame:
     """Successes per hour of the day, over all days."""
     return (
         events.filter((F.col("event_type") == "download_success") & F.col("event_ts").isNotNull())
-        .groupBy(F.date_format("event_ts", "HH:00").alias("hour"))
+        .groupBy(F.concat(F.lpad(F.hour("event_ts").cast("string"), 2, "0"), F.lit(":00")).alias("hour"))
         .agg(F.count(F.lit(1)).alias("downloads"))
     )
 
@@ -123,12 +123,13 @@ def log_common_errors(lines: DataFrame, n: int = 5) -> DataFrame:
     return counts.orderBy(F.desc("occurrences"), "raw_line").limit(n)
 
 
-def log_timeline(fields: DataFrame, n: int = 50) -> DataFrame:
-    """The last typed events with a sentence each."""
-    typed = fields.filter(F.col("event_ts").isNotNull() & (F.col("event_type") != "unknown"))
+def log_timeline(events: DataFrame, n: int = 50) -> DataFrame:
+    """The last typed events in time order with a sentence each.
+
+    Sorting the ``n`` rows again, oldest first, keeps the field parsing above the top-n,
+    so only those rows are parsed.
+    """
+    typed = events.filter(F.col("event_ts").isNotNull() & (F.col("event_type") != "unknown"))
     keys = [c for c in ("file", "line_number") if c in typed.columns]
-    return (
-        typed.orderBy(*_newest(typed))
-        .limit(n)
-        .select("event_ts", *keys, "event_type", "level", loglines.event_summary().alias("summary"))
-    )
+    last = parse_log_fields(typed.orderBy(*_newest(typed)).limit(n).orderBy("event_ts", *keys))
+    return last.select("event_ts", *keys, "event_type", "level", loglines.event_summary().alias("summary"))

@@ -618,7 +618,7 @@ def recent_errors(spark, d):
 
 @query
 def log_timeline(spark, d):
-    return logs.log_timeline(_fields(spark, d))
+    return logs.log_timeline(_events(spark, d))
 
 
 # --- streaming --------------------------------------------------------------

@@ -1,6 +1,6 @@
 """Queries that go through stored files: Spark writes them from the given tables, the
-operator under test reads them back.  Stored documents are cut by key range, so none
-grows with the data."""
+operator under test reads them back.  Stored documents are cut by key range, one per
+line, so none grows with the data."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from estate.functions.measures import seconds_between, timestamp
 from estate.operators import inventory, ledger
 from estate.plans import tables as t
 from estate.session import new_location
@@ -71,11 +72,6 @@ def copy_files(spark, d):
     return spark.read.parquet(location)
 
 
-def _write_documents(rows: DataFrame, keys: list[str], location: str) -> None:
-    """One stored document per key combination: a folder holding one text file."""
-    rows.write.partitionBy(*keys).text(location)
-
-
 @query
 def read_manifest(spark, d):
     location = new_location(spark, "manifest")
@@ -91,8 +87,8 @@ def read_manifest(spark, d):
             F.concat(F.lit("drive-"), F.col("doc").cast("string")).alias("drive_id"),
         )
     )
-    _write_documents(rows.select("doc", text.alias("value")), ["doc"], location)
-    return documents.read_manifest(spark, location)
+    rows.select(text.alias("value")).write.text(location)
+    return documents.read_manifest(spark, location, multi_line=False)
 
 
 def _ledger_documents(spark: SparkSession, d: str) -> DataFrame:
@@ -106,7 +102,7 @@ def _ledger_documents(spark: SparkSession, d: str) -> DataFrame:
         "skipped",
         "size_bytes",
         F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("iso"),
-        (F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("event_ts")) / 1e6).alias("epoch"),
+        seconds_between(F.col("event_ts"), timestamp("1970-01-01")).alias("epoch"),
         (F.col("event_id") % 10).cast("int").alias("batch"),
         F.concat(F.lit("HTTP "), (F.col("event_id") % 5 + 400).cast("string")).alias("error"),
     )
@@ -166,14 +162,14 @@ def _ledger_documents(spark: SparkSession, d: str) -> DataFrame:
 @query
 def read_ledger(spark, d):
     location = new_location(spark, "ledgers")
-    _write_documents(_ledger_documents(spark, d), ["layout", "doc"], location)
+    _ledger_documents(spark, d).select("layout", "value").write.partitionBy("layout").text(location)
     out = None
     for layout in documents.LEDGER_LAYOUTS:
         # small inputs may not fill every layout
         present = f"{location}/layout={layout}"
         if not _exists(spark, present):
             continue
-        rows = documents.read_ledger(spark, present, layout)
+        rows = documents.read_ledger(spark, present, layout, multi_line=False)
         out = rows if out is None else out.unionByName(rows)
     return out.drop("ledger_id")
 
@@ -197,9 +193,8 @@ def read_ledger_tolerant(spark, d):
         .when(doc % 4 == 3, F.left(whole, F.floor(F.length(whole) / 2).cast("int")))
         .otherwise(whole)
     )
-    entries = _ledger_documents_l1(spark, d).select("doc", damaged.alias("value"))
-    _write_documents(entries, ["doc"], location)
-    parsed = documents.read_ledger_tolerant(spark, location, "L1")
+    _ledger_documents_l1(spark, d).select(damaged.alias("value")).write.text(location)
+    parsed = documents.read_ledger_tolerant(spark, location, "L1", multi_line=False)
     return parsed.select(
         "is_corrupt",
         F.coalesce(F.size("results.success"), F.lit(0)).cast("bigint").alias("success"),

@@ -167,7 +167,8 @@ def log_columns() -> list[Column]:
     return [
         F.concat(F.lit("log-"), text(F.floor(eid / 1000).cast("bigint"))).alias("file"),
         (eid % 1000 + 1).cast("bigint").alias("line_number"),
-        F.concat(stamp, F.lit(" - "), message).alias("raw_line"),
+        # generated, not projected: filters on a line must not repeat its derivation
+        F.explode(F.array(F.concat(stamp, F.lit(" - "), message))).alias("raw_line"),
     ]
 
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -55,3 +56,12 @@ def durable(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """Hint a broadcast only after counting; a larger side is joined by shuffle.
+
+    The side is checkpointed, so counting it does not compute it twice.
+    """
+    kept = durable(df)
+    return F.broadcast(kept) if kept.count() <= rows else kept

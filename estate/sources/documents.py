@@ -201,14 +201,14 @@ def ledger_batches(docs: DataFrame) -> DataFrame:
     return docs.select("ledger_id", F.explode("completed_batches").alias("batch"))
 
 
-def read_ledger_tolerant(spark: SparkSession, path: str, layout: str = "L1") -> DataFrame:
+def read_ledger_tolerant(spark: SparkSession, path: str, layout: str = "L1", multi_line: bool = True) -> DataFrame:
     """Parsed documents that never fail the job.
 
     A document is parsed as it is; else after dropping trailing commas and space and
     closing the outer brace; else it is reported with ``is_corrupt``.
     """
     texts = (
-        spark.read.option("wholetext", "true")
+        spark.read.option("wholetext", str(multi_line).lower())
         .option("recursiveFileLookup", "true")
         .text(path)
         .withColumn("ledger_id", F.col("_metadata.file_name"))

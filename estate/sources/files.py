@@ -77,9 +77,11 @@ def content_checksum(
     small = listed.filter(F.col("size_bytes") <= native_limit).select("relative_path").join(
         hashed, "relative_path", "left"
     )
+    # large files are dealt out evenly over all cores
     large = (
         listed.filter(F.coalesce(F.col("size_bytes") > native_limit, F.lit(True)))
         .select("relative_path")
+        .repartition(spark.sparkContext.defaultParallelism, "relative_path")
         .mapInPandas(_hash_task(root), "relative_path string, checksum string, error string")
     )
     unread = F.when(F.col("checksum").isNull(), F.lit("unreadable"))

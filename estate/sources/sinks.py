@@ -37,11 +37,12 @@ def append_ledger(outcomes: DataFrame, location: str) -> None:
     """Append outcomes as one partition per ``(run_id, batch)``.
 
     Writing a batch again replaces it, so a repeated job leaves each outcome once; other
-    partitions are not read or rewritten. 
-    Each task writes its own files, so a large batch is not one long task.
+    partitions are not read or rewritten.  The rebalance hint gathers small batches into
+    few files and splits a large one over several tasks.
     """
     (
-        outcomes.write.mode("overwrite")
+        outcomes.hint("rebalance", "run_id", "batch")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_id", "batch")
         .parquet(location)

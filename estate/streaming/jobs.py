@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate.functions.measures import ratio, timestamp
+from estate.functions.measures import instant, ratio, wall
 from estate.operators.ledger import SUCCESS, is_skipped
 from estate.operators.logs import parse_log
 from estate.sources.sinks import append_ledger
@@ -28,18 +28,9 @@ def stream_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(itself)
 
 
-_EPOCH = "1970-01-01"
-
-
 def _timed(outcomes: DataFrame, late: str) -> DataFrame:
-    """Watermarks need instants: event times without a zone are read as UTC."""
-    micros = F.timestamp_diff("MICROSECOND", timestamp(_EPOCH), F.col("event_ts"))
-    return outcomes.withColumn("event_ts", F.timestamp_micros(micros)).withWatermark("event_ts", late)
-
-
-def _wall(instant: Column) -> Column:
-    """Back to a time without zone."""
-    return timestamp(_EPOCH) + (instant - F.timestamp_seconds(F.lit(0)))
+    """Watermarks need instants; times without zone are read as UTC."""
+    return outcomes.withColumn("event_ts", instant(F.col("event_ts"))).withWatermark("event_ts", late)
 
 
 def log_events(lines: DataFrame) -> DataFrame:
@@ -94,7 +85,7 @@ def idle_sessions(outcomes: DataFrame, gap: str = "30 seconds", late: str = "10
 
 
 def _bounds() -> list[Column]:
-    return [_wall(F.col("window.start")).alias("window_start"), _wall(F.col("window.end")).alias("window_end")]
+    return [wall(F.col("window.start")).alias("window_start"), wall(F.col("window.end")).alias("window_end")]
 
 
 # --- sinks ------------------------------------------------------------------
