@@ -56,9 +56,8 @@ def scan_files_filtered(spark, d):
 
 @query
 def content_checksum(spark, d):
-    """Files above the native limit go through the chunked reader; both give the same digests."""
     root = _as_files(spark, d)
-    return files.content_checksum(spark, root, native_limit=16 * 1024)
+    return files.content_checksum(files.scan_files(spark, root), root)
 
 
 @query

@@ -1,53 +1,85 @@
 """File scans, content hashes and distributed copies.
 
-Paths are any URI that both Spark and Arrow's file systems can open; on one machine
-plain local paths.
+Folders are listed and files are read by the executors through Arrow's file systems, so
+roots are any URI those can open; on one machine plain local paths.  Spark's own file
+sources would list everything on the driver and leave out empty files and names that
+start with ``_`` or ``.``.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import sys
 import time
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estate.functions import classify, paths
+from estate.functions.measures import wall
+from estate.session import durable
 
 # the small helpers below travel with their tasks; executors need no installed package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK = 8 * 1024 * 1024
-NATIVE_HASH_LIMIT = 256 * 1024 * 1024
+MAX_DEPTH = 500
 
 
-def _below(root: str, path: Column | str = "path") -> Column:
-    """Path relative to ``root``, whatever scheme the file system put in front."""
-    plain = root.split(":", 1)[-1].rstrip("/") + "/"
-    full = F.col(path) if isinstance(path, str) else path
-    return F.substr(full, F.locate(plain, full) + F.lit(len(plain)))
+def _tasks(spark: SparkSession, asked: int | None = None) -> int:
+    return asked or spark.sparkContext.defaultParallelism
 
 
-def scan_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """One row per regular file below ``root``; contents are not read.
+def scan_files(spark: SparkSession, root: str, tasks: int | None = None) -> DataFrame:
+    """One row per regular file below ``root``, empty and hidden ones too; contents are not read.
 
-    Spark's listing leaves out names that start with ``.`` or ``_``.
+    One job per folder level: the folders of a level are dealt out over ``tasks`` and
+    listed in parallel.  Each level is checkpointed, so the result is a fixed snapshot.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).select(
-        _below(root).alias("relative_path"),
-        F.col("length").alias("size_bytes"),
-        F.col("modificationTime").cast("timestamp_ntz").alias("modified_ts"),
+    schema = "relative_path string, is_folder boolean, size_bytes bigint, modified_us bigint"
+    folders = spark.range(1).select(F.lit("").alias("relative_path"))
+    found = None
+    for _ in range(MAX_DEPTH):
+        level = durable(folders.repartition(_tasks(spark, tasks)).mapInArrow(_list_task(root), schema))
+        found = level if found is None else found.unionByName(level)
+        folders = level.filter("is_folder").select("relative_path")
+        if folders.isEmpty():
+            break
+    else:
+        raise ValueError(f"folders nest deeper than {MAX_DEPTH}: do links form a cycle?")
+    return found.filter("NOT is_folder").select(
+        "relative_path", "size_bytes", wall(F.timestamp_micros("modified_us")).alias("modified_ts")
     )
 
 
+def _list_task(root: str):
+    columns = pa.schema(
+        [("relative_path", pa.string()), ("is_folder", pa.bool_()), ("size_bytes", pa.int64()), ("modified_us", pa.int64())]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow.fs import FileSelector, FileType
+
+        filesystem, base = _open_fs(root)
+        for folder in _values(batches, "relative_path"):
+            entries = filesystem.get_file_info(FileSelector(f"{base}/{folder}".rstrip("/"), allow_not_found=True))
+            kept = [e for e in entries if e.type in (FileType.File, FileType.Directory)]
+            values = [
+                [f"{folder}/{e.base_name}".lstrip("/") for e in kept],
+                [e.type == FileType.Directory for e in kept],
+                [e.size for e in kept],
+                [e.mtime_ns // 1000 if e.mtime_ns else None for e in kept],
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, columns)], schema=columns)
+
+    return run
+
+
 def scan_files_filtered(spark: SparkSession, root: str, transfer_types_only: bool = True) -> DataFrame:
     """``scan_files`` without dot-files and, by default, only the transferred file types."""
     name = paths.file_name("relative_path")
@@ -55,43 +87,34 @@ def scan_files_filtered(spark: SparkSession, root: str, transfer_types_only: boo
     return found.filter(classify.is_transfer_type(name)) if transfer_types_only else found
 
 
-def content_checksum(
-    spark: SparkSession, root: str, inventory: DataFrame | None = None, native_limit: int = NATIVE_HASH_LIMIT
-) -> DataFrame:
+def content_checksum(inventory: DataFrame, root: str, tasks: int | None = None) -> DataFrame:
     """``(relative_path, checksum, error)`` for every inventory row.
 
-    Files up to ``native_limit`` are hashed inside the JVM; larger ones are read in chunks
-    by Python workers, so no file is ever held whole.  A file that cannot be read has a
-    null checksum and an error text.
+    Files are dealt out evenly and read in chunks, so none is ever held whole.  A file that
+    cannot be read has a null checksum and an error text.
     """
-    listed = scan_files(spark, root) if inventory is None else inventory
-    hashed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("ignoreCorruptFiles", "true")
-        .option("ignoreMissingFiles", "true")
-        .load(root)
-        .filter(F.col("length") <= native_limit)
-        .select(_below(root).alias("relative_path"), F.md5("content").alias("checksum"))
-    )
-    small = listed.filter(F.col("size_bytes") <= native_limit).select("relative_path").join(
-        hashed, "relative_path", "left"
-    )
-    # large files are dealt out evenly over all cores
-    large = (
-        listed.filter(F.coalesce(F.col("size_bytes") > native_limit, F.lit(True)))
-        .select("relative_path")
-        .repartition(spark.sparkContext.defaultParallelism, "relative_path")
-        .mapInPandas(_hash_task(root), "relative_path string, checksum string, error string")
-    )
-    unread = F.when(F.col("checksum").isNull(), F.lit("unreadable"))
-    return small.select("relative_path", "checksum", unread.alias("error")).unionByName(large)
+    dealt = inventory.select("relative_path").repartition(_tasks(inventory.sparkSession, tasks), "relative_path")
+    return dealt.mapInArrow(_hash_task(root), "relative_path string, checksum string, error string")
 
 
 def _open_fs(root: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(root)
+    filesystem, base = fs.FileSystem.from_uri(root)
+    return filesystem, base.rstrip("/")
+
+
+def _values(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[str]:
+    for batch in batches:
+        yield from batch.column(column).to_pylist()
+
+
+def _in_batches(rows: Iterator[tuple], columns: pa.Schema, size: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches, so that results leave the worker while it goes on."""
+    while part := list(itertools.islice(rows, size)):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(v), f.type) for v, f in zip(zip(*part), columns)], schema=columns
+        )
 
 
 def _md5(filesystem, path: str) -> str:
@@ -103,34 +126,40 @@ def _md5(filesystem, path: str) -> str:
 
 
 def _hash_task(root: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = pa.schema([("relative_path", pa.string()), ("checksum", pa.string()), ("error", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, base = _open_fs(root)
-        for batch in batches:
-            rows = []
-            for rel in batch["relative_path"]:
+
+        def rows():
+            for path in _values(batches, "relative_path"):
                 try:
-                    rows.append((rel, _md5(filesystem, f"{base}/{rel}"), None))
+                    yield path, _md5(filesystem, f"{base}/{path}"), None
                 except OSError as problem:
-                    rows.append((rel, None, str(problem)))
-            yield pd.DataFrame(rows, columns=["relative_path", "checksum", "error"])
+                    yield path, None, str(problem)
+
+        return _in_batches(rows(), columns)
 
     return run
 
 
 def write_files(content: DataFrame, root: str) -> DataFrame:
     """Write one file per row of ``(relative_path, content)``; returns path and size."""
+    columns = pa.schema([("relative_path", pa.string()), ("size_bytes", pa.int64())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, base = _open_fs(root)
         made: set[str] = set()
-        for batch in batches:
-            sizes = []
-            for rel, data in zip(batch["relative_path"], batch["content"]):
-                _put(filesystem, f"{base}/{rel}", [bytes(data)], made)
-                sizes.append(len(data))
-            yield pd.DataFrame({"relative_path": batch["relative_path"], "size_bytes": sizes})
 
-    return content.select("relative_path", "content").mapInPandas(run, "relative_path string, size_bytes bigint")
+        def rows():
+            for batch in batches:
+                for path, data in zip(batch.column("relative_path").to_pylist(), batch.column("content").to_pylist()):
+                    _put(filesystem, f"{base}/{path}", [data], made)
+                    yield path, len(data)
+
+        return _in_batches(rows(), columns)
+
+    return content.select("relative_path", "content").mapInArrow(run, "relative_path string, size_bytes bigint")
 
 
 def _put(filesystem, path: str, chunks, made: set[str]) -> None:
@@ -140,10 +169,15 @@ def _put(filesystem, path: str, chunks, made: set[str]) -> None:
         filesystem.create_dir(folder, recursive=True)
         made.add(folder)
     partial = f"{folder}/.{name}.{uuid.uuid4().hex}"
-    with filesystem.open_output_stream(partial) as out:
-        for chunk in chunks:
-            out.write(chunk)
-    filesystem.move(partial, path)
+    try:
+        with filesystem.open_output_stream(partial) as out:
+            for chunk in chunks:
+                out.write(chunk)
+        filesystem.move(partial, path)
+    except OSError:
+        if filesystem.get_file_info(partial).is_file:
+            filesystem.delete_file(partial)
+        raise
 
 
 OUTCOME_SCHEMA = (
@@ -167,24 +201,35 @@ def copy_files(
     are renamed into place, so a task that runs twice does no harm.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = pa.schema(
+        [
+            ("path", pa.string()),
+            ("status", pa.string()),
+            ("skipped", pa.bool_()),
+            ("error", pa.string()),
+            ("size_bytes", pa.int64()),
+            ("attempt", pa.int32()),
+            ("checksum", pa.string()),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         source_fs, source = _open_fs(source_root)
         target_fs, target = _open_fs(target_root)
         made: set[str] = set()
-        for batch in batches:
-            rows = [
-                _copy_one(source_fs, f"{source}/{p}", target_fs, f"{target}/{p}", p, attempts, verify_md5, backoff_seconds, made)
-                for p in batch["path"]
-            ]
-            columns = [part.split()[0] for part in OUTCOME_SCHEMA.split(", ")]
-            frame = pd.DataFrame(rows, columns=columns)
-            frame["size_bytes"] = frame["size_bytes"].astype("Int64")
-            yield frame
+
+        def rows():
+            for p in _values(batches, "path"):
+                yield _copy_one(
+                    source_fs, f"{source}/{p}", target_fs, f"{target}/{p}", p, attempts, verify_md5, backoff_seconds, made
+                )
+
+        return _in_batches(rows(), columns)
 
     listed = manifest.select("path")
     if concurrency:
         listed = listed.repartition(concurrency)
-    return listed.mapInPandas(run, OUTCOME_SCHEMA)
+    return listed.mapInArrow(run, OUTCOME_SCHEMA)
 
 
 def _copy_one(source_fs, source, target_fs, target, path, attempts, verify_md5, backoff, made):
