@@ -31,8 +31,12 @@ def already_done(files: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def reconcile(ledger: DataFrame, disk: DataFrame) -> DataFrame:
-    """Successful ledger paths against the disk.  Ledger rows are made unique per path first."""
-    left = dedupe_latest(succeeded(ledger)).select(
+    """Successful ledger paths against the disk.
+
+    Ledger rows are made unique per path first, from no more columns than decide the size.
+    """
+    deciding = succeeded(ledger).select("path", *[c for c in ("event_ts", "attempt", "batch", SIZE) if c in ledger.columns])
+    left = dedupe_latest(deciding).select(
         F.col("path").alias(PATH), F.col(SIZE).alias("ledger_size"), F.lit(True).alias("_in_ledger")
     )
     right = disk.select(PATH, F.col(SIZE).alias("disk_size"), F.lit(True).alias("_on_disk"))
@@ -67,7 +71,8 @@ def reconcile_summary(ledger: DataFrame, disk: DataFrame) -> DataFrame:
 
 def unify_registry(ledger: DataFrame, disk: DataFrame) -> DataFrame:
     """One row per known path, from the ledger's successes, the disk, or both."""
-    left = dedupe_latest(succeeded(ledger)).select(
+    # the error text and the entry position decide nothing here
+    left = dedupe_latest(succeeded(ledger).drop("error", "entry_index")).select(
         "path",
         F.lit(True).alias("_in_ledger"),
         (~F.coalesce(F.col("skipped"), F.lit(False))).alias("_downloaded"),

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from estate.functions.measures import instant, ratio, wall
 from estate.operators.ledger import SUCCESS, is_skipped
@@ -115,7 +117,7 @@ def run_updates(stream: DataFrame, keys: list[str], out: str, checkpoint: str) -
     _drain(stream, write, "update", checkpoint)
     spark = stream.sparkSession
     values = [c for c in stream.columns if c not in keys]
-    written = spark.read.parquet(out)
+    written = _read_or_empty(spark, out, stream.schema, StructField("batch_id", LongType()))
     newest = written.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("_v"))
     return newest.select(*keys, "_v.*")
 
@@ -127,7 +129,20 @@ def run_ledger_upsert(outcomes: DataFrame, run_id: str, out: str, checkpoint: st
         append_ledger(batch.withColumns({"run_id": F.lit(run_id), "batch": F.lit(batch_id)}), out)
 
     _drain(outcomes, write, "append", checkpoint)
-    return outcomes.sparkSession.read.parquet(out)
+    return _read_or_empty(
+        outcomes.sparkSession, out, outcomes.schema, StructField("run_id", StringType()), StructField("batch", LongType())
+    )
+
+
+def _read_or_empty(spark: SparkSession, path: str, columns: StructType, *partitions: StructField) -> DataFrame:
+    """A stream that found nothing has written no table yet."""
+    schema = StructType([*columns.fields, *partitions])
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def _drain(stream: DataFrame, write: Callable[[DataFrame, int], None], mode: str, checkpoint: str) -> None:

@@ -66,3 +66,13 @@ def test_idle_sessions(spark, sliced, tmp_path):
     every = {tuple(r) for r in jobs.idle_sessions(spark.read.parquet(sliced), "10 minutes").collect()}
     closed = {tuple(r) for r in got.collect()}
     assert len(closed) == got.count() and closed <= every and len(every) - len(closed) <= 6
+
+
+def test_stream_without_files(spark, tmp_path):
+    schema = "path string, status string, skipped boolean, size_bytes bigint, event_ts timestamp_ntz"
+    (tmp_path / "none").mkdir()
+    empty = spark.readStream.schema(schema).parquet(str(tmp_path / "none"))
+    out, state = places(tmp_path)
+    got = jobs.run_updates(jobs.throughput(empty), ["window_start", "window_end", "status"], out, state)
+    assert got.count() == 0 and got.columns == ["window_start", "window_end", "status", "files", "bytes"]
+    assert jobs.run_ledger_upsert(empty, "live", f"{out}-2", f"{state}-2").count() == 0
