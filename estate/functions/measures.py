@@ -61,9 +61,11 @@ def size_bucket(size: Column | str) -> Column:
 def age_bucket(ts: Column | str, as_of: datetime | str | Column) -> Column:
     """Age class by elapsed seconds; the future counts as recent, no time as older."""
     age = seconds_between(timestamp(as_of), _col(ts))
-    return (
-        F.when(age < 3600, "recent").when(age < 86_400, "today").when(age < 172_800, "yesterday").otherwise("older")
-    )
+    (limit, label), *rest = rules.AGE_CLASSES
+    bucket = F.when(age < limit, label)
+    for limit, label in rest:
+        bucket = bucket.when(age < limit, label)
+    return bucket.otherwise(rules.AGE_OTHERWISE)
 
 
 def human_size(size: Column | str) -> Column:

@@ -24,6 +24,18 @@ PLAIN_FILES_PER_SECOND = 5
 ADAPTIVE_BATCH = [(1_000_000, 100), (10_000_000, 50)]
 ADAPTIVE_BATCH_OTHERWISE = 20
 
+# age below this many seconds -> class
+AGE_CLASSES = [(3600, "recent"), (86_400, "today"), (172_800, "yesterday")]
+AGE_OTHERWISE = "older"
+
+# rule, level, metric, lower bound (exclusive), upper bound (inclusive)
+ALERT_RULES = [
+    ("disk_low", "danger", "disk_usage_pct", 90.0, float("inf")),
+    ("disk_filling", "warning", "disk_usage_pct", 80.0, 90.0),
+    ("high_error_rate", "warning", "error_rate", 10.0, float("inf")),
+    ("almost_complete", "success", "progress_pct", 95.0, float("inf")),
+]
+
 # --- Fixed values: target limits -------------------------------------------
 MAX_FILE_BYTES = 100 * GIB
 MAX_PATH_CHARS = 400

@@ -12,6 +12,7 @@ from estate.functions import measures, rules
 from estate.functions.measures import mb, ratio
 from estate.operators.ledger import SUCCESS, is_skipped, outcome_class
 from estate.operators.ordering import number_rows, with_previous
+from estate.session import broadcast_if_small
 
 
 def ledger_totals(ledger: DataFrame) -> DataFrame:
@@ -95,15 +96,6 @@ def completion_forecast(metrics: DataFrame, total_files: int, as_of: datetime |
     )
 
 
-# rule name, level, metric, lower bound (exclusive), upper bound (inclusive)
-ALERT_RULES: list[tuple[str, str, str, float, float]] = [
-    ("disk_low", "danger", "disk_usage_pct", 90.0, float("inf")),
-    ("disk_filling", "warning", "disk_usage_pct", 80.0, 90.0),
-    ("high_error_rate", "warning", "error_rate", 10.0, float("inf")),
-    ("almost_complete", "success", "progress_pct", 95.0, float("inf")),
-]
-
-
 def alerts(metrics: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """One row per metrics row and rule that fires."""
     fired = F.array(
@@ -112,7 +104,7 @@ def alerts(metrics: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
                 (F.col(metric) > low) & (F.col(metric) <= high),
                 F.struct(F.lit(name).alias("alert"), F.lit(level).alias("level"), F.col(metric).alias("value")),
             )
-            for name, level, metric, low, high in ALERT_RULES
+            for name, level, metric, low, high in rules.ALERT_RULES
         ]
     )
     return metrics.select(*keys, F.inline(F.array_compact(fired)))
@@ -159,17 +151,31 @@ def running_batch_speed(batches: DataFrame) -> DataFrame:
 
 
 def progress_milestones(ledger: DataFrame, totals: Mapping[str, int] | int, every: int = 50) -> DataFrame:
-    """Every ``every``-th completion of a run: percentage, rate since its start, time left."""
-    rows = ledger.select("run_id", "event_ts")
+    """Every ``every``-th completion of a run: percentage, rate since its start, time left.
+
+    Completions are counted per run and time before they are ordered, so many at one
+    moment are one row; the marks that fall on that moment are spelled out afterwards, in
+    two steps that keep the arrays short.
+    """
     if isinstance(totals, Mapping):
         total = F.create_map(*[F.lit(x) for pair in totals.items() for x in pair])[F.col("run_id")]
     else:
         total = F.lit(totals)
+    moments = ledger.groupBy("run_id", "event_ts").agg(F.count(F.lit(1)).alias("_n"))
+    rows = number_rows(moments, ["event_ts"], ["run_id"], {"_done": F.col("_n")})
     started = rows.groupBy("run_id").agg(F.min("event_ts").alias("_start"))
-    marks = number_rows(rows, ["event_ts"], ["run_id"], ordinal="completed").filter(F.col("completed") % every == 0)
+    first = (F.floor((F.col("_done") - F.col("_n")) / every).cast("bigint") + 1) * every
+    step = every * 10_000
+    parts = rows.filter(first <= F.col("_done")).select(
+        "run_id", "event_ts", "_done", F.explode(F.sequence(first, F.col("_done"), F.lit(step).cast("bigint"))).alias("_from")
+    )
+    last = F.least(F.col("_done"), F.col("_from") + (step - every))
+    marks = parts.select(
+        "run_id", "event_ts", F.explode(F.sequence(F.col("_from"), last, F.lit(every).cast("bigint"))).alias("completed")
+    )
     elapsed = measures.seconds_between(F.col("event_ts"), F.col("_start"))
     speed = ratio(F.col("completed"), elapsed)
-    return marks.join(started, "run_id").select(
+    return marks.join(broadcast_if_small(started), "run_id").select(
         "run_id",
         "completed",
         "event_ts",

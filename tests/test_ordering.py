@@ -63,3 +63,19 @@ def test_batches_partition_the_input(spark, sizes, batch_size):
     assert [(r.size_bytes, r.relative_path) for r in got] == want
     assert [r.position for r in got] == list(range(1, len(sizes) + 1))
     assert [r.batch for r in got] == [i // batch_size + 1 for i in range(len(sizes))]
+
+
+def test_milestones_at_one_moment(spark, rows):
+    """Most completions at one instant: all of its milestones are there, more than one array holds."""
+    from datetime import datetime
+
+    from estate.operators import progress
+
+    t0, t1 = datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 0, 10)
+    few = rows([("r", t0)] * 7 + [("s", t0)] * 4, "run_id string, event_ts timestamp_ntz")
+    many = spark.range(60_000).select(F.lit("r").alias("run_id"), F.lit(t1.isoformat()).cast("timestamp_ntz").alias("event_ts"))
+    got = progress.progress_milestones(few.unionByName(many), {"r": 120_014, "s": 100}, every=5).collect()
+    assert sorted(r.completed for r in got if r.run_id == "r") == list(range(5, 60_008, 5))
+    assert not [r for r in got if r.run_id == "s"]
+    row = next(r for r in got if r.completed == 60_005)
+    assert (row.event_ts, row.files_per_second, row.eta_hours) == (t1, 6000.5, round(60_009 / 6000.5 / 3600, 6))
