@@ -14,7 +14,7 @@ def folder_paths(
 ) -> DataFrame:
     """``(id, path, depth)`` of every folder below ``root``, one join per level.
 
-    Each level is checkpointed: lineage stays one join long and a lost executor repeats
+    Each level is written to a table: lineage stays one join long and a lost executor repeats
     no earlier level.  Folders named in ``skip`` are left out with all they hold.
     """
     folders = items.filter("is_folder").select("id", "parent_id", "name")

@@ -28,7 +28,7 @@ def number_rows(
 
     The order should have few ties: rows equal in all keys share a range, so count them
     together first where many can be equal.
-    The range sort is checkpointed, so that the sampled range bounds are the same for
+    The sorted ranges are written to a table, so that the sampled range bounds are the same for
     the numbering and for the totals, also after the loss of an executor.
     """
     sums = dict(sums or {})

@@ -50,18 +50,20 @@ def new_location(spark: SparkSession, label: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write the rows to a table in the shared folder and read them back.
+
+    As safe against lost executors as a reliable checkpoint, and later reads take only the
+    columns they need and know the size.
+    """
+    location = new_location(df.sparkSession, "cut")
+    df.write.parquet(location)
+    return df.sparkSession.read.schema(df.schema).parquet(location)
 
 
 def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
     """Hint a broadcast only after counting; a larger side is joined by shuffle.
 
-    The side is checkpointed, so counting it does not compute it twice.
+    The side is written first, so counting it does not compute it twice.
     """
     kept = durable(df)
     return F.broadcast(kept) if kept.count() <= rows else kept

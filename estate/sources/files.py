@@ -39,7 +39,7 @@ def scan_files(spark: SparkSession, root: str, tasks: int | None = None) -> Data
     """One row per regular file below ``root``, empty and hidden ones too; contents are not read.
 
     One job per folder level: the folders of a level are dealt out over ``tasks`` and
-    listed in parallel.  Each level is checkpointed, so the result is a fixed snapshot.
+    listed in parallel.  Each level is written to a table, so the result is a fixed snapshot.
     """
     schema = "relative_path string, is_folder boolean, size_bytes bigint, modified_us bigint"
     folders = spark.range(1).select(F.lit("").alias("relative_path"))

@@ -16,7 +16,7 @@ def read_log_lines(spark: SparkSession, pattern: str | list[str], line_numbers:
 
     Files stay splittable: lines are numbered inside each block and shifted by the line
     counts of the earlier blocks of the file, so no file has to fit in one task.  The
-    numbered blocks are checkpointed, which keeps both reads of them the same.  Without
+    numbered blocks are written to a table, which keeps both reads of them the same.  Without
     ``line_numbers`` the lines are read in one pass.
     """
     lines = spark.read.option("recursiveFileLookup", "true").text(pattern).select(
