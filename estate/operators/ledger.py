@@ -232,6 +232,13 @@ def clear_failed(ledger: DataFrame, as_of: datetime | str) -> tuple[DataFrame, D
     return ledger.filter(~F.col("status").eqNullSafe(F.lit(FAILED))), history
 
 
+def retry_history(outcomes: DataFrame, as_of: datetime | str) -> DataFrame:
+    """The history row of a retry: attempted, successful, still failed."""
+    return retry_summary(outcomes).select(
+        measures.timestamp(as_of).alias("timestamp"), "attempted", "successful", "still_failed"
+    )
+
+
 def retry_summary(outcomes: DataFrame) -> DataFrame:
     return outcomes.agg(
         F.count(F.lit(1)).alias("attempted"),

@@ -67,7 +67,7 @@ def copy_files(spark, d):
     listed = t.contents(spark, d).select(F.col("relative_path").alias("path"))
     location = new_location(spark, "outcomes")
     # the outcomes are kept: reading them again must not copy again
-    files.copy_files(listed, source, target, verify_md5=True, concurrency=8).write.parquet(location)
+    files.copy_files(listed, source, target, verify_md5=True).write.parquet(location)
     return spark.read.parquet(location)
 
 

@@ -197,8 +197,10 @@ def copy_files(
     """Copy the files of a manifest ``(path)`` and return one outcome row per file.
 
     A target of the same size is skipped, a missing source fails at once, other errors are
-    retried with doubling waits.  ``concurrency`` bounds the number of copying tasks.  Copies
-    are renamed into place, so a task that runs twice does no harm.
+    retried with doubling waits.  The files are dealt out over ``concurrency`` tasks, by
+    default one per core; more tasks repeat less after a lost executor, and what was copied
+    is skipped then.  Copies are renamed into place, so a task that runs twice does no harm.
+    The copying happens whenever the result is evaluated: store it with ``append_ledger``.
     """
 
     columns = pa.schema(
@@ -226,10 +228,8 @@ def copy_files(
 
         return _in_batches(rows(), columns)
 
-    listed = manifest.select("path")
-    if concurrency:
-        listed = listed.repartition(concurrency)
-    return listed.mapInArrow(run, OUTCOME_SCHEMA)
+    dealt = manifest.select("path").repartition(_tasks(manifest.sparkSession, concurrency))
+    return dealt.mapInArrow(run, OUTCOME_SCHEMA)
 
 
 def _copy_one(source_fs, source, target_fs, target, path, attempts, verify_md5, backoff, made):

@@ -224,3 +224,11 @@ def test_catalog_table(spark, sf_dir, tmp_path):
     assert spark.table("estate_catalog_test").count() == catalog.count()
     spark.sql("DROP TABLE estate_catalog_test")
     assert [f.name for f in catalog.schema] == [f.name for f in spark.read.parquet(str(tmp_path / "c")).schema]
+
+
+def test_retry_history(spark, rows):
+    data = [("r", "a", 1, "success", False, None, 5, at(1), 1), ("r", "b", 1, "failed", False, "x", 0, at(1), 2)]
+    row = ledger.retry_history(rows(data, LEDGER), "2024-01-02 00:00:00").first()
+    assert row.asDict() == {"timestamp": datetime(2024, 1, 2), "attempted": 2, "successful": 1, "still_failed": 1}
+    none = ledger.retry_summary(rows([], LEDGER)).first()
+    assert (none.attempted, none.success_rate, none.recovered_bytes) == (0, 0.0, 0)
