@@ -35,6 +35,12 @@ def wall(at: Column) -> Column:
     return timestamp("1970-01-01") + F.make_dt_interval(secs=seconds)
 
 
+def floor_time(ts: Column, seconds: int) -> Column:
+    """Start of the time bucket of the given width, counted from midnight."""
+    start = F.floor(seconds_between(ts, timestamp("1970-01-01")) / seconds) * seconds
+    return timestamp("1970-01-01") + F.make_dt_interval(secs=start)
+
+
 def mb(size: Column | str) -> Column:
     return _col(size) / F.lit(rules.MIB)
 

@@ -185,9 +185,9 @@ def progress_milestones(ledger: DataFrame, totals: Mapping[str, int] | int, ever
     )
 
 
-def outcomes_over_time(ledger: DataFrame, unit: str = "hour") -> DataFrame:
+def outcomes_over_time(ledger: DataFrame, seconds: int = 3600) -> DataFrame:
     """Cumulative outcome counts per time bucket: the snapshot table of a ledger."""
-    per_bucket = ledger.groupBy("run_id", F.date_trunc(unit, "event_ts").cast("timestamp_ntz").alias("ts")).agg(
+    per_bucket = ledger.groupBy("run_id", measures.floor_time(F.col("event_ts"), seconds).alias("ts")).agg(
         F.count_if(outcome_class() != "failed").alias("_ok"), F.count_if(outcome_class() == "failed").alias("_bad")
     )
     running: dict[str, Column] = {"success": F.col("_ok"), "failed": F.col("_bad")}

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estate.functions import rules
+from estate.functions.measures import wall
 
 # --- Fixed values: document schemas ----------------------------------------
 MANIFEST = (
@@ -72,8 +73,7 @@ def read_inventory(spark: SparkSession, path: str, multi_line: bool = True) -> D
     """A stored inventory as ``(relative_path, size_bytes, modified_ts)``."""
     rows = spark.read.option("multiLine", str(multi_line).lower()).schema(INVENTORY).json(path)
     f = rows.select(F.explode("files").alias("f"))
-    modified = F.timestamp_seconds(F.col("f.modified_time")).cast("timestamp_ntz")
-    return f.select("f.relative_path", "f.size_bytes", modified.alias("modified_ts"))
+    return f.select("f.relative_path", "f.size_bytes", _epoch(F.col("f.modified_time")).alias("modified_ts"))
 
 
 def read_directories(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -93,7 +93,7 @@ def _iso(text: Column) -> Column:
 
 
 def _epoch(seconds: Column) -> Column:
-    return F.timestamp_micros(F.round(seconds * 1_000_000).cast("bigint")).cast("timestamp_ntz")
+    return wall(F.timestamp_micros(F.round(seconds * 1_000_000).cast("bigint")))
 
 
 def _outcome(key: Column, status: Column | str, **given: Column) -> list[Column]:

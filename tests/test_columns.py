@@ -165,3 +165,23 @@ def test_every_pattern_holds_its_plain_text():
     assert set(rules.LOG_EVENT_TEXT) == {k for k, _ in rules.LOG_EVENTS}
     for kind, pattern in rules.LOG_EVENTS:
         assert rules.LOG_EVENT_TEXT[kind] in pattern
+
+
+def test_epochs_and_buckets_ignore_the_session_zone(spark):
+    """Half past two does not exist in this zone on this day."""
+    from estate.operators import progress
+    from estate.sources import documents
+
+    gap = datetime(2024, 3, 10, 2, 30)
+    epoch = (gap - datetime(1970, 1, 1)).total_seconds()
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        doc = '{"completed_files": {"a": {"status": "completed", "size": 1, "timestamp": %r}}}' % epoch
+        texts = spark.createDataFrame([("x", doc)], "ledger_id string, value string")
+        docs = texts.select("ledger_id", F.from_json("value", documents.LEDGER_LAYOUTS["L2"]).alias("d")).select("ledger_id", "d.*")
+        outcomes = documents.ledger_rows(docs, "L2").withColumn("run_id", F.lit("r"))
+        assert [r.event_ts for r in outcomes.collect()] == [gap]
+        assert [r.ts for r in progress.outcomes_over_time(outcomes).collect()] == [gap.replace(minute=0)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
