@@ -3,14 +3,15 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from estate.plans import oracles, queries
 from tests.compare import differences
 
-SQL = entry_module.oracle_sql()
+SQL, QUERIES = oracles.oracle_sql(), queries.queries()
 
 
-@pytest.mark.parametrize("key", sorted(entry_module.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, con, key):
-    assert differences(entry_module.queries()[key](spark, sf_dir), con, SQL[key]) == []
+    assert differences(QUERIES[key](spark, sf_dir), con, SQL[key]) == []
 
 
 def test_entry(spark):

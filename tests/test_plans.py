@@ -2,14 +2,14 @@
 
 import pytest
 
-import __spark_entry__ as entry_module
+from estate.plans import queries
 
 EAGER = {"append_ledger", "backup_ledger", "write_catalog", "write_report_json"}
-BATCH = sorted(k for k in entry_module.queries() if not k.startswith("stream_") and k not in EAGER)
+BATCH = sorted(k for k in queries.queries() if not k.startswith("stream_") and k not in EAGER)
 
 
 def plan(spark, key, sf_dir):
-    return entry_module.queries()[key](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    return queries.queries()[key](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("key", BATCH)
