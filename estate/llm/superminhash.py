@@ -23,6 +23,8 @@ SHINGLE = 2
 PERCENT = 80
 #: 32 bands of 5: a pair at similarity 0.8 is missed with probability 3e-6, one at 0.9 with 1e-12
 BANDS, ROWS = 32, 5
+#: rows of a bucket on either side of a comparison, and shingles in a matrix product
+CHUNK, WIDTH = 256, 2048
 
 
 def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -137,6 +139,51 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "_x", "_y").mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def _crossed(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between components inside a bucket, from ``bucket, a, ca, ch``: row, its component, the hub's.
+
+    Rows of other components than the hub's are compared with the whole bucket, chunk by chunk of about ``CHUNK`` rows
+    on either side, so the size of a bucket bounds no task.  A chunk counts common shingles by matrix products and
+    returns one link for each row and component that it reaches, never the pairs.
+    """
+    kind = mixed.schema["a"].dataType.simpleString()
+    other = F.col("ca") != F.col("ch")
+    sizes = durable(mixed.groupBy("bucket").agg(*[F.ceil(F.count(x) / CHUNK).alias(n) for x, n in ((F.lit(1), "all_chunks"), (F.when(other, 1), "other_chunks"))]))
+    rows = mixed.join(sizes, "bucket")
+    own = lambda n: F.pmod(F.xxhash64("a", "bucket"), F.col(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    left = rows.filter(other).withColumn("o", own("other_chunks")).withColumn("m", each("all_chunks"))
+    right = rows.withColumn("m", own("all_chunks")).withColumn("o", each("other_chunks"))
+    dealt = left.select("bucket", "o", "m", F.lit(True).alias("left"), "a", "ca").unionByName(right.select("bucket", "o", "m", F.lit(False).alias("left"), "a", "ca"))
+    dealt = dealt.join(sets.select(F.col("_id").alias("a"), F.col("_keys").alias("keys")), "a").select("bucket", "o", "m", "left", "a", "ca", "keys")
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        left = table.column("left").to_numpy()
+        ids, component = table.column("a").to_numpy(), table.column("ca").to_numpy()
+        lists = [np.frombuffer(k.as_buffer(), np.uint64) for k in table.column("keys")]
+        size = np.array([len(x) for x in lists])
+        names, row = np.concatenate(lists), np.repeat(np.arange(len(lists)), size)
+        shared = np.intersect1d(names[left[row]], names[~left[row]])
+        at = np.minimum(np.searchsorted(shared, names), max(len(shared) - 1, 0))
+        hit = shared[at] == names if len(shared) else np.zeros(len(names), bool)
+        row, at = row[hit], at[hit]
+        order = np.argsort(at, kind="stable")
+        row, at = row[order], at[order]
+        x, y = np.flatnonzero(left), np.flatnonzero(~left)
+        both = np.zeros((len(x), len(y)), np.float32)
+        for low in range(0, len(shared), WIDTH):
+            a, b = np.searchsorted(at, (low, low + WIDTH))
+            present = np.zeros((len(lists), WIDTH), np.float32)
+            present[row[a:b], at[a:b] - low] = 1
+            both += present[x] @ present[y].T
+        link = 100 * both >= percent * (size[x][:, None] + size[y][None, :] - both)
+        i, j = np.nonzero(link & (component[x][:, None] != component[y][None, :]))
+        _, first = np.unique(np.stack([i, component[y][j]]), axis=1, return_index=True) if len(i) else (None, np.zeros(0, np.int64))
+        return pa.table({"a": pa.array(ids[x[i[first]]]), "b": pa.array(ids[y[j[first]]])})
+
+    return dealt.groupBy("bucket", "o", "m").applyInArrow(compare, f"a {kind}, b {kind}")
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, id_column: str = "doc_id"
 ) -> DataFrame:
@@ -179,10 +226,8 @@ def near_duplicates(
     labelled = durable(label(label(shared, "a", "ca"), "hub", "ch"))
     others = durable(labelled.filter("ca != ch"))
     if not others.isEmpty():
-        mixed = labelled.join(others.select("bucket").distinct(), "bucket", "left_semi").filter("a != hub")
-        left = others.select("bucket", "a", "ca").join(mixed.select("bucket", F.col("a").alias("b"), F.col("ca").alias("cb")), "bucket")
-        rest = pair(left.filter("ca != cb"))
-        links = links.unionByName(durable(_verified(rest, sets, percent)))
+        mixed = labelled.join(others.select("bucket").distinct(), "bucket", "left_semi")
+        links = links.unionByName(durable(_crossed(mixed, sets, percent)))
 
     # an id with several texts joins their classes
     final = components(links.unionByName(same_id))
