@@ -11,23 +11,22 @@ from estate.session import durable
 def components(links: DataFrame, source: str = "a", target: str = "b") -> DataFrame:
     """``id, component`` for every id in ``links``; the component is its smallest id.
 
-    Each round takes the smallest label of the neighbours (combined before the shuffle) and then the
-    label of the label, so long chains need a logarithmic number of rounds.  All joins are equi joins
-    of written tables on unique labels: a hub that holds a third of the links is split by the adaptive
-    skew join.  Rounds are cut by tables in the shared folder.
+    Each round every id moves to its smallest neighbour (found by a minimum that is combined before the shuffle) and on
+    to where that one moves; the links are then drawn between the new places, and what became a loop or double is
+    dropped.  So links shrink from round to round, and long chains need a logarithmic number of rounds.  All joins are
+    equi joins of written tables on unique ids: a hub that holds a third of the links is split by the adaptive skew join.
     """
-    pair = links.select(F.col(source).alias("a"), F.col(target).alias("b")).filter("a != b")
-    edges = durable(pair.union(pair.select("b", "a")).distinct())
-    labels = durable(edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("_low")).select("id", F.least("id", "_low").alias("component")))
-    while True:
-        near = (
-            edges.join(labels.select(F.col("id").alias("b"), "component"), "b")
-            .groupBy(F.col("a").alias("id"))
-            .agg(F.min("component").alias("_low"))
-        )
-        lowered = durable(labels.join(near, "id").select("id", F.least("component", "_low").alias("component"), F.col("component").alias("_was")))
-        up = lowered.select(F.col("id").alias("component"), F.col("component").alias("_top"))
-        jumped = durable(lowered.join(up, "component").select("id", F.col("_top").alias("component"), (F.col("_top") != F.col("_was")).alias("_moved")))
-        labels = jumped.drop("_moved")
-        if jumped.filter("_moved").isEmpty():
-            return labels
+    pair = links.select(F.col(source).alias("a"), F.col(target).alias("b"))
+    places = durable(pair.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.col("id").alias("component")))
+    open_ = durable(pair.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    while not open_.isEmpty():
+        both = open_.union(open_.select("b", "a"))
+        lower = durable(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("low")).select("id", F.least("id", "low").alias("low")))
+        step = durable(lower.join(lower.select(F.col("id").alias("low"), F.col("low").alias("to")), "low").select("id", "to"))
+        move = lambda df, column: df.join(step.select(F.col("id").alias(column), "to"), column, "left").withColumn(
+            column, F.coalesce("to", column)
+        ).drop("to")
+        places = durable(move(places, "component"))
+        moved = move(move(open_, "a"), "b").filter("a != b")
+        open_ = durable(moved.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return places
