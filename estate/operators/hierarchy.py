@@ -10,32 +10,34 @@ from estate.session import durable
 
 
 def folder_paths(
-    items: DataFrame, root: object, skip: list[str] | None = None, max_depth: int = 200
+    items: DataFrame, root: object, skip: list[str] | None = None
 ) -> DataFrame:
     """``(id, path, depth)`` of every folder below ``root``, one join per level.
 
     Each level is written to a table: lineage stays one join long and a lost executor repeats
-    no earlier level.  Folders named in ``skip`` are left out with all they hold.
+    no earlier level.  Folders named in ``skip`` are left out with all they hold; a folder without a name is kept.
+    Trees may be of any depth; a folder that comes up again on a later level is a cycle and an error.
     """
     folders = items.filter("is_folder").select("id", "parent_id", "name")
     if skip:
-        folders = folders.filter(~F.col("name").isin(skip))
+        folders = folders.filter(~F.coalesce(F.col("name").isin(skip), F.lit(False)))
     level = durable(
         folders.filter(F.col("parent_id") == F.lit(root)).select(
             "id", F.col("name").alias("path"), F.lit(1).alias("depth")
         )
     )
-    levels = [level]
+    levels, seen = [level], level.select("id")
     while not level.isEmpty():
-        if len(levels) > max_depth:
-            raise ValueError(f"folders nest deeper than {max_depth}: is there a cycle?")
         above = level.select(F.col("id").alias("parent_id"), F.col("path").alias("above"), "depth")
         level = durable(
             folders.join(above, "parent_id").select(
                 "id", F.concat_ws("/", "above", "name").alias("path"), (F.col("depth") + 1).alias("depth")
             )
         )
+        if not level.join(seen, "id", "left_semi").isEmpty():
+            raise ValueError("a folder lies below itself: the tree has a cycle")
         levels.append(level)
+        seen = durable(seen.union(level.select("id")))
     out = levels[0]
     for more in levels[1:-1]:
         out = out.unionByName(more)

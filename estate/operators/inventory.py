@@ -227,35 +227,21 @@ def insight_summary(registry: DataFrame) -> DataFrame:
     )
 
 
-def sample_per_dir(files: DataFrame, per_directory: int = 1000, overall: int = 10_000) -> DataFrame:
+def sample_per_dir(files: DataFrame, per_directory: int, overall: int) -> DataFrame:
     """A sampling operator: the first files by path of each folder, and of all folders."""
     keyed = files.withColumn("directory", paths.parent_dir(PATH))
     first = top_n_per_group(keyed, ["directory"], [PATH], per_directory, salt_on=PATH)
     return first.orderBy(PATH).limit(overall)
 
 
-def estimate_total_size(files: DataFrame, per_directory: int = 1000, overall: int = 10_000) -> DataFrame:
-    """Total size scaled up from ``sample_per_dir`` when the sample is partial."""
-    eligible = files.filter(classify.is_transfer_type(paths.file_name(PATH)))
-    sample = sample_per_dir(eligible, per_directory, overall).agg(
-        F.lit(0).cast("bigint").alias("all_files"),
-        F.count(F.lit(1)).alias("sampled_files"),
-        F.coalesce(F.sum(SIZE), F.lit(0)).alias("sampled_bytes"),
-    )
-    none = F.lit(0).cast("bigint")
-    whole = files.agg(F.count(F.lit(1)).alias("all_files"), none.alias("sampled_files"), none.alias("sampled_bytes"))
-    both = whole.unionByName(sample).agg(*[F.sum(c).alias(c) for c in whole.columns])
-    factor = F.when(
-        F.col("sampled_files") < F.col("all_files"),
-        F.col("all_files") / F.greatest("sampled_files", F.lit(1)),
-    ).otherwise(F.lit(1.0))
-    return both.select(
-        "all_files",
-        "sampled_files",
-        "sampled_bytes",
-        F.round(factor, 6).alias("scale_factor"),
-        F.round(gb("sampled_bytes") * factor, 6).alias("estimated_gb"),
-    )
+def estimate_total_size(files: DataFrame) -> DataFrame:
+    """Total size of the files of transferred types: the exact sum, so the scale factor is 1."""
+    eligible = classify.is_transfer_type(paths.file_name(PATH))
+    return files.agg(
+        F.count(F.lit(1)).alias("all_files"),
+        F.count_if(eligible).alias("sampled_files"),
+        F.coalesce(F.sum(F.when(eligible, F.col(SIZE))), F.lit(0)).cast("bigint").alias("sampled_bytes"),
+    ).select("*", F.lit(1.0).alias("scale_factor"), F.round(gb("sampled_bytes"), 6).alias("estimated_gb"))
 
 
 def top_types_by_size(files: DataFrame, n: int = 10) -> DataFrame:

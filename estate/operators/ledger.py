@@ -1,7 +1,8 @@
 """Operators over the ledger: one row per file outcome.
 
 Columns: ``run_id, path, attempt, status, skipped, error, size_bytes, event_ts, batch``;
-``status`` is success or failed, a skipped file is a success.
+``status`` is success, failed or pending; a skipped file is a success, and whatever is not a success, null included, is
+still to be done.
 """
 
 from __future__ import annotations
@@ -15,7 +16,11 @@ from estate.functions import measures, rules
 from estate.functions.classify import classify_error, error_prefix
 from estate.functions.measures import gb, mb, ratio
 
-SUCCESS, FAILED = "success", "failed"
+SUCCESS = "success"
+
+
+def _is_success() -> Column:
+    return F.col("status").eqNullSafe(F.lit(SUCCESS))
 
 
 def is_skipped() -> Column:
@@ -27,12 +32,13 @@ def succeeded(ledger: DataFrame) -> DataFrame:
 
 
 def failed(ledger: DataFrame) -> DataFrame:
-    return ledger.filter(F.col("status") == FAILED)
+    """Every row that is not a success: failed, pending, null or anything else."""
+    return ledger.filter(~_is_success())
 
 
 def outcome_class() -> Column:
     return (
-        F.when(F.col("status") != SUCCESS, "failed").when(is_skipped(), "skipped").otherwise("downloaded")
+        F.when(~_is_success(), "failed").when(is_skipped(), "skipped").otherwise("downloaded")
     )
 
 
@@ -62,7 +68,7 @@ def status_counts(ledger: DataFrame) -> DataFrame:
 
 
 def _counts() -> list[Column]:
-    good = F.col("status") == SUCCESS
+    good = _is_success()
     return [
         F.count_if(good).alias("success"),
         F.count_if(~good).alias("failed"),
@@ -130,7 +136,7 @@ def run_summary(ledger: DataFrame, total_files: int | Column) -> DataFrame:
     Distinct paths are counted from rows combined per (run, path).
     """
     total = total_files if isinstance(total_files, Column) else F.lit(total_files)
-    good = F.col("status") == SUCCESS
+    good = _is_success()
     per_path = ledger.groupBy("run_id", "path").agg(
         *_counts(),
         F.max(good).alias("done"),
@@ -197,9 +203,9 @@ def freshness(
 # --- retries ----------------------------------------------------------------
 def retry_plan(ledger: DataFrame, manifest: DataFrame) -> DataFrame:
     """What to do with each failed row; files missing from the manifest get empty defaults."""
-    listed = manifest.select(
-        "path", F.col("id").alias("_id"), F.col("download_url").alias("_url"), F.col("size").alias("_size")
-    )
+    # a listing may name a path twice: one row per path, with an id if there is one
+    listed = manifest.groupBy("path").agg(F.max(F.struct("id", "download_url", "size")).alias("_m"))
+    listed = listed.select("path", F.col("_m.id").alias("_id"), F.col("_m.download_url").alias("_url"), F.col("_m.size").alias("_size"))
     url = F.coalesce(F.col("_url"), F.lit(""))
     stale = (url == "") | F.contains(F.coalesce(F.col("error"), F.lit("")), F.lit("401"))
     action = F.when(stale & F.col("_id").isNull(), "skip_no_id").when(stale, "refresh_url").otherwise("retry_as_is")
@@ -215,21 +221,21 @@ def retry_plan(ledger: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def merge_retry(ledger: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Replace the failed rows of the retried paths by their new outcomes."""
-    retried = outcomes.select("path").distinct()
-    untouched = failed(ledger).join(retried, "path", "left_anti")
-    return succeeded(ledger).unionByName(untouched).unionByName(outcomes, allowMissingColumns=True)
+    """Replace the rows of the retried paths that are no success by their new outcomes; all others stay."""
+    retried = outcomes.select("path", F.lit(True).alias("_retried")).distinct()
+    kept = ledger.join(retried, "path", "left").filter(_is_success() | F.col("_retried").isNull()).select(*ledger.columns)
+    return kept.unionByName(outcomes, allowMissingColumns=True)
 
 
 def clear_failed(ledger: DataFrame, as_of: datetime | str) -> tuple[DataFrame, DataFrame]:
-    """The ledger without its failed rows, and the history row saying so."""
-    history = ledger.agg(F.count_if(F.col("status") == FAILED).alias("files_cleared")).select(
+    """The successes of the ledger, and the history row saying how many others went."""
+    history = ledger.agg(F.count_if(~_is_success()).alias("files_cleared")).select(
         measures.timestamp(as_of).alias("timestamp"),
         F.lit("cleared_failed_status").alias("action"),
         "files_cleared",
         F.lit("Prepare for retry").alias("reason"),
     )
-    return ledger.filter(~F.col("status").eqNullSafe(F.lit(FAILED))), history
+    return succeeded(ledger), history
 
 
 def retry_history(outcomes: DataFrame, as_of: datetime | str) -> DataFrame:
@@ -242,8 +248,8 @@ def retry_history(outcomes: DataFrame, as_of: datetime | str) -> DataFrame:
 def retry_summary(outcomes: DataFrame) -> DataFrame:
     return outcomes.agg(
         F.count(F.lit(1)).alias("attempted"),
-        F.count_if(F.col("status") == SUCCESS).alias("successful"),
-        F.count_if(F.col("status") != SUCCESS).alias("still_failed"),
+        F.count_if(_is_success()).alias("successful"),
+        F.count_if(~_is_success()).alias("still_failed"),
         F.coalesce(F.sum(F.when(F.col("status") == SUCCESS, F.col("size_bytes"))), F.lit(0)).alias("recovered_bytes"),
     ).withColumn("success_rate", F.round(ratio(F.col("successful"), F.col("attempted"), 100.0), 2))
 

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from estate.session import broadcast_if_small, durable
+from estate.session import durable
 
 _RANGE, _LOCAL, _FIRST, _BEFORE = "_range", "_local", "_first", "_before"
 
@@ -58,7 +58,7 @@ def number_rows(
     )
     for key in keys:
         offsets = offsets.withColumnRenamed(key, f"_key_{key}")
-    out = ranged.join(broadcast_if_small(offsets), same, "inner")
+    out = ranged.join(durable(offsets), same, "inner")
     local = Window.partitionBy(*keys).orderBy(_LOCAL).rowsBetween(Window.unboundedPreceding, 0)
     for name in sums:
         running = F.sum(f"_add_{name}").over(local)

@@ -12,12 +12,12 @@ from estate.functions import measures, rules
 from estate.functions.measures import mb, ratio
 from estate.operators.ledger import SUCCESS, is_skipped, outcome_class
 from estate.operators.ordering import number_rows, with_previous
-from estate.session import broadcast_if_small
+from estate.session import durable
 
 
 def ledger_totals(ledger: DataFrame) -> DataFrame:
     """One row of counts that the metrics below start from."""
-    good = F.col("status") == SUCCESS
+    good = F.col("status").eqNullSafe(F.lit(SUCCESS))
     return ledger.agg(
         F.count(F.lit(1)).alias("entries"),
         F.count_if(good & ~is_skipped()).alias("downloaded"),
@@ -175,7 +175,7 @@ def progress_milestones(ledger: DataFrame, totals: Mapping[str, int] | int, ever
     )
     elapsed = measures.seconds_between(F.col("event_ts"), F.col("_start"))
     speed = ratio(F.col("completed"), elapsed)
-    return marks.join(broadcast_if_small(started), "run_id").select(
+    return marks.join(durable(started), "run_id").select(
         "run_id",
         "completed",
         "event_ts",

@@ -105,7 +105,7 @@ def rebuild_ledger(manifest: DataFrame, disk: DataFrame) -> DataFrame:
 
 
 def rebuild_summary(rebuilt: DataFrame) -> DataFrame:
-    good = F.col("status") == SUCCESS
+    good = F.col("status").eqNullSafe(F.lit(SUCCESS))
     rate = F.round(ratio(F.col("downloaded_count"), F.col("total_count"), 100.0), 2)
     return rebuilt.agg(
         F.count(F.lit(1)).alias("total_count"),

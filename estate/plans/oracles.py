@@ -85,7 +85,7 @@ _CTES = {
         {_EXT.format("split_part(relative_path, '/', -1)")} AS extension
       FROM files""",
     "ledger": f"""SELECT 'run_' || l_linestatus AS run_id, relative_path AS path, l_linenumber::INTEGER AS attempt,
-        CASE WHEN l_returnflag = 'R' THEN 'failed' ELSE 'success' END AS status,
+        CASE WHEN l_returnflag <> 'R' THEN 'success' WHEN l_partkey % 16 = 3 THEN 'pending' WHEN l_partkey % 16 = 5 THEN NULL ELSE 'failed' END AS status,
         l_returnflag = 'A' AS skipped,
         CASE WHEN l_returnflag = 'R' THEN {_case('(l_partkey % 8)', t.ERRORS)} END AS error,
         CASE WHEN l_returnflag = 'R' THEN 0 ELSE size_bytes + CASE WHEN l_suppkey % 10 = 0 THEN 1 ELSE 0 END END::BIGINT AS size_bytes,
@@ -114,7 +114,7 @@ _CTES = {
     "registry": """SELECT coalesce(l.path, d.relative_path) AS path, l.path IS NOT NULL AS in_progress,
         d.relative_path IS NOT NULL AS on_filesystem,
         CASE WHEN l.path IS NULL THEN true ELSE NOT l.skipped END AS is_downloaded,
-        CASE WHEN l.path IS NULL THEN 'filesystem_only' ELSE l.status END AS status,
+        CASE WHEN l.path IS NULL THEN 'filesystem_only' ELSE coalesce(l.status, 'unknown') END AS status,
         coalesce(d.size_bytes, 0) AS size_bytes, l.event_ts AS ledger_ts, d.modified_ts
       FROM latest_ok l FULL JOIN disk d ON l.path = d.relative_path""",
     "rebuilt": """SELECT m.path, CASE WHEN d.relative_path IS NULL THEN 'pending' ELSE 'success' END AS status,
@@ -125,17 +125,17 @@ _CTES = {
         CASE WHEN entry_index % 2 = 0 THEN 'success' ELSE 'failed' END AS status, skipped,
         CASE WHEN entry_index % 2 <> 0 THEN error END AS error,
         CASE WHEN entry_index % 2 = 0 THEN entry_index * 10 ELSE 0 END::BIGINT AS size_bytes, event_ts, batch, entry_index
-      FROM ledger WHERE status = 'failed' AND batch % 2 = 0""",
+      FROM ledger WHERE status IS DISTINCT FROM 'success' AND batch % 2 = 0""",
     "prefixes": """SELECT DISTINCT kind, array_to_string(parts[1:i], '/') AS directory FROM (
         SELECT kind, parts, unnest(range(2, len(parts) + 1)) AS i FROM (
           SELECT DISTINCT kind, string_split('Files/Estate/' || regexp_replace(p, '/[^/]*$', ''), '/') AS parts FROM (
             SELECT 'required' AS kind, relative_path AS p FROM files
             UNION ALL SELECT 'created', relative_path FROM files WHERE relative_path LIKE 'Plant%' OR year(modified_ts) % 2 = 0
-            UNION ALL SELECT 'attempted', path FROM ledger WHERE status = 'failed' AND batch < 5) WHERE contains(p, '/')))""",
+            UNION ALL SELECT 'attempted', path FROM ledger WHERE status IS DISTINCT FROM 'success' AND batch < 5) WHERE contains(p, '/')))""",
     "dirs": """SELECT directory, (length(directory) - length(replace(directory, '/', '')))::INTEGER AS depth
       FROM prefixes WHERE kind = 'required'""",
     "totals": """SELECT count(*) AS entries, count(*) FILTER (status = 'success' AND NOT skipped) AS downloaded,
-        count(*) FILTER (status = 'success' AND skipped) AS skipped, count(*) FILTER (status <> 'success') AS failed,
+        count(*) FILTER (status = 'success' AND skipped) AS skipped, count(*) FILTER (status IS DISTINCT FROM 'success') AS failed,
         sum(size_bytes)::BIGINT AS total_bytes, min(event_ts) AS started_ts, (SELECT count(*) FROM orders) AS n
       FROM ledger""",
     "rates": f"""SELECT round(e, 6) AS elapsed_seconds, round(downloaded / e * 60, 2) AS files_per_minute,
@@ -237,7 +237,7 @@ def _mime() -> str:
 
 
 def _outcome_counts() -> str:
-    return """count(*) FILTER (status = 'success') AS success, count(*) FILTER (status <> 'success') AS failed,
+    return """count(*) FILTER (status = 'success') AS success, count(*) FILTER (status IS DISTINCT FROM 'success') AS failed,
       count(*) FILTER (status = 'success' AND NOT skipped) AS downloaded, count(*) FILTER (status = 'success' AND skipped) AS skipped"""
 
 
@@ -250,7 +250,7 @@ def _eta(h: str) -> str:
 
 def _top_failures(label: str, column: str, limit: str = "") -> str:
     return (
-        f"SELECT {label} AS {column}, count(*) AS failures FROM ledger WHERE status = 'failed' "
+        f"SELECT {label} AS {column}, count(*) AS failures FROM ledger WHERE status IS DISTINCT FROM 'success' "
         f"GROUP BY 1 ORDER BY 2 DESC, 1 {limit}"
     )
 
@@ -302,9 +302,9 @@ def oracle_sql() -> dict[str, str]:
         "ledger",
         f"SELECT path, attempt, {_LOG_CLASS.format('error')} AS log_class, {_MONITOR_CLASS.format('error')} AS monitor_class, "
         f"{_INSIGHT_CLASS.format('error')} AS insight_class, {_DETAIL_CLASS.format('error')} AS insight_detail_class "
-        "FROM ledger WHERE status = 'failed'",
+        "FROM ledger WHERE status IS DISTINCT FROM 'success'",
     )
-    put("error_prefix", "ledger", "SELECT path, attempt, split_part(error, ':', 1) AS prefix FROM ledger WHERE status = 'failed'")
+    put("error_prefix", "ledger", "SELECT path, attempt, split_part(error, ':', 1) AS prefix FROM ledger WHERE status IS DISTINCT FROM 'success'")
     put("human_size", "files", f"SELECT relative_path, size_bytes, {_human('size_bytes')} AS size_label FROM files")
     put("eta_label", "files", f"SELECT relative_path, {_eta('(size_bytes / 1234567.0::DOUBLE)')} AS eta_label FROM files")
     put(
@@ -362,7 +362,7 @@ def oracle_sql() -> dict[str, str]:
         """SELECT l.path, attempt, error, id, coalesce(download_url, '') AS download_url, coalesce(size, 0) AS size,
         CASE WHEN coalesce(download_url, '') = '' OR contains(error, '401')
           THEN CASE WHEN id IS NULL THEN 'skip_no_id' ELSE 'refresh_url' END ELSE 'retry_as_is' END AS action
-        FROM ledger l LEFT JOIN manifest1 m ON l.path = m.path WHERE status = 'failed'""",
+        FROM ledger l LEFT JOIN manifest1 m ON l.path = m.path WHERE status IS DISTINCT FROM 'success'""",
     )
     put(
         "merge_retry",
@@ -375,14 +375,14 @@ def oracle_sql() -> dict[str, str]:
         "retry_summary",
         "retried",
         """SELECT count(*) AS attempted, count(*) FILTER (status = 'success') AS successful,
-        count(*) FILTER (status <> 'success') AS still_failed, sum(size_bytes) FILTER (status = 'success')::BIGINT AS recovered_bytes,
+        count(*) FILTER (status IS DISTINCT FROM 'success') AS still_failed, sum(size_bytes) FILTER (status = 'success')::BIGINT AS recovered_bytes,
         round(100.0::DOUBLE * count(*) FILTER (status = 'success') / count(*), 2) AS success_rate FROM retried""",
     )
     put(
         "clear_failed",
         "ledger",
-        """SELECT run_id, count(*) AS entries, 'kept' AS action FROM ledger WHERE status <> 'failed' GROUP BY 1
-        UNION ALL SELECT 'history', count(*), 'cleared_failed_status' FROM ledger WHERE status = 'failed'""",
+        """SELECT run_id, count(*) AS entries, 'kept' AS action FROM ledger WHERE status = 'success' GROUP BY 1
+        UNION ALL SELECT 'history', count(*), 'cleared_failed_status' FROM ledger WHERE status IS DISTINCT FROM 'success'""",
     )
     put(
         "dir_coverage",
@@ -459,15 +459,14 @@ def oracle_sql() -> dict[str, str]:
     put(
         "estimate_total_size",
         "named",
-        f"""SELECT all_files, n AS sampled_files, b AS sampled_bytes, round(f, 6) AS scale_factor, round(b / 1073741824 * f, 6) AS estimated_gb
-        FROM (SELECT *, CASE WHEN n < all_files THEN all_files / greatest(n, 1) ELSE 1.0::DOUBLE END AS f FROM (
-          SELECT count(*) AS n, sum(size_bytes)::BIGINT AS b, (SELECT count(*) FROM files) AS all_files FROM (
-            {_SAMPLED.format(where="WHERE extension IN ('.pdf', '.xls', '.xlsx', '.msg', '.jpg', '.png')")})))""",
+        """SELECT all_files, n AS sampled_files, b AS sampled_bytes, 1.0::DOUBLE AS scale_factor, round(b / 1073741824, 6) AS estimated_gb
+        FROM (SELECT count(*) AS all_files, count(*) FILTER (t) AS n, coalesce(sum(size_bytes) FILTER (t), 0)::BIGINT AS b
+          FROM (SELECT size_bytes, extension IN ('.pdf', '.xls', '.xlsx', '.msg', '.jpg', '.png') AS t FROM named))""",
     )
     put(
         "ledger_status_counts",
         "ledger",
-        "SELECT CASE WHEN status <> 'success' THEN 'failed' WHEN skipped THEN 'skipped' ELSE 'downloaded' END AS outcome, "
+        "SELECT CASE WHEN status IS DISTINCT FROM 'success' THEN 'failed' WHEN skipped THEN 'skipped' ELSE 'downloaded' END AS outcome, "
         "count(*) AS entries FROM ledger GROUP BY 1",
     )
     which = "CASE WHEN batch >= 5 THEN 'turbo' ELSE 'plain' END"
@@ -539,10 +538,10 @@ def oracle_sql() -> dict[str, str]:
         "error_feed",
         "ledger",
         """SELECT 'download_failure' AS type, path AS file, error, strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS timestamp
-          FROM ledger WHERE status = 'failed' AND batch < 5
-        UNION ALL SELECT 'download_failure', path, 'Download failed', 'Unknown' FROM ledger WHERE status = 'failed' AND batch >= 5
+          FROM ledger WHERE status IS DISTINCT FROM 'success' AND batch < 5
+        UNION ALL SELECT 'download_failure', path, 'Download failed', 'Unknown' FROM ledger WHERE status IS DISTINCT FROM 'success' AND batch >= 5
         UNION ALL SELECT 'system_error', 'Multiple files', count(*)::VARCHAR || ' errors encountered during download', '2001-08-01 04:00:00'
-          FROM ledger WHERE status = 'failed'""",
+          FROM ledger WHERE status IS DISTINCT FROM 'success'""",
     )
     put(
         "alerts",
@@ -553,7 +552,7 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN er > 10 THEN {'alert': 'high_error_rate', 'level': 'warning', 'value': er} END,
             CASE WHEN pr > 95 THEN {'alert': 'almost_complete', 'level': 'success', 'value': pr} END], recursive := true)
           FROM (SELECT run_id, batch, (70 + 3 * batch)::DOUBLE AS disk,
-            round(100.0::DOUBLE * count(*) FILTER (status = 'failed') / count(*), 6) AS er,
+            round(100.0::DOUBLE * count(*) FILTER (status IS DISTINCT FROM 'success') / count(*), 6) AS er,
             round(140.0::DOUBLE * count(*) FILTER (status = 'success') / count(*), 6) AS pr FROM ledger GROUP BY 1, 2))
         WHERE alert IS NOT NULL""",
     )
@@ -681,7 +680,7 @@ def oracle_sql() -> dict[str, str]:
         "outcomes",
         """SELECT doc % 4 = 3 AS is_corrupt, count(*) AS documents,
           sum(CASE WHEN doc % 4 = 3 THEN 0 ELSE s END)::BIGINT AS success, sum(CASE WHEN doc % 4 = 3 THEN 0 ELSE f END)::BIGINT AS failed
-        FROM (SELECT event_id // 100 AS doc, count(*) FILTER (status = 'success') AS s, count(*) FILTER (status = 'failed') AS f
+        FROM (SELECT event_id // 100 AS doc, count(*) FILTER (status = 'success') AS s, count(*) FILTER (status IS DISTINCT FROM 'success') AS f
           FROM outcomes GROUP BY 1) GROUP BY 1""",
     )
     put(
@@ -699,7 +698,7 @@ def oracle_sql() -> dict[str, str]:
         "backup_ledger",
         "ledger",
         """SELECT '20010801_040000' AS snapshot_id, status, count(*) AS entries FROM ledger GROUP BY 2
-        UNION ALL SELECT 'current', status, count(*) FROM ledger WHERE status <> 'failed' GROUP BY 2""",
+        UNION ALL SELECT 'current', status, count(*) FROM ledger WHERE status = 'success' GROUP BY 2""",
     )
 
     # --- files
@@ -797,7 +796,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_sliding_error_rate",
         "outcomes",
         """SELECT *, round(100.0::DOUBLE * failed / files, 6) AS error_rate FROM (
-          SELECT s AS window_start, s + INTERVAL 1 HOUR AS window_end, count(*) AS files, count(*) FILTER (status = 'failed') AS failed
+          SELECT s AS window_start, s + INTERVAL 1 HOUR AS window_end, count(*) AS files, count(*) FILTER (status IS DISTINCT FROM 'success') AS failed
           FROM (SELECT status, time_bucket(INTERVAL 15 MINUTE, event_ts) - to_minutes(15 * k) AS s
             FROM outcomes, range(4) r(k)) GROUP BY 1) WHERE 100.0::DOUBLE * failed / files > 10""",
     )

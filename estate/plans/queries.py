@@ -314,7 +314,7 @@ def insight_summary(spark, d):
 
 @query
 def estimate_total_size(spark, d):
-    return inventory.estimate_total_size(t.files(spark, d), per_directory=100, overall=2000)
+    return inventory.estimate_total_size(t.files(spark, d))
 
 
 @query

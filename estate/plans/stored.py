@@ -251,8 +251,8 @@ def append_ledger(spark, d):
     """Two appends of the same batches leave each outcome once."""
     location = new_location(spark, "ledger")
     rows = t.ledger(spark, d)
-    sinks.append_ledger(rows, location)
-    sinks.append_ledger(rows.filter("batch < 3"), location)
+    sinks.append_ledger(rows, location, "load")
+    sinks.append_ledger(rows.filter("batch < 3"), location, "load")
     back = spark.read.schema(rows.schema).parquet(location)
     return back.select("run_id", "batch", "path", "attempt", "status", "size_bytes", "event_ts")
 

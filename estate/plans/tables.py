@@ -79,7 +79,11 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("run_"), F.col("l_linestatus")).alias("run_id"),
         F.col("relative_path").alias("path"),
         F.col("l_linenumber").cast("int").alias("attempt"),
-        F.when(bad, "failed").otherwise("success").alias("status"),
+        F.when(bad & (F.col("l_partkey") % 16 == 3), "pending")
+        .when(bad & (F.col("l_partkey") % 16 == 5), None)
+        .when(bad, "failed")
+        .otherwise("success")
+        .alias("status"),
         (F.col("l_returnflag") == "A").alias("skipped"),
         F.when(bad, _pick(ERRORS, F.col("l_partkey") % 8)).alias("error"),
         F.when(bad, F.lit(0)).otherwise(F.col("file_size") + extra).cast("bigint").alias("size_bytes"),

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -58,12 +57,3 @@ def durable(df: DataFrame) -> DataFrame:
     location = new_location(df.sparkSession, "cut")
     df.write.parquet(location)
     return df.sparkSession.read.schema(df.schema).parquet(location)
-
-
-def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast only after counting; a larger side is joined by shuffle.
-
-    The side is written first, so counting it does not compute it twice.
-    """
-    kept = durable(df)
-    return F.broadcast(kept) if kept.count() <= rows else kept

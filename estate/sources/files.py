@@ -28,7 +28,6 @@ from estate.session import durable
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK = 8 * 1024 * 1024
-MAX_DEPTH = 500
 
 
 def _tasks(spark: SparkSession, asked: int | None = None) -> int:
@@ -40,18 +39,17 @@ def scan_files(spark: SparkSession, root: str, tasks: int | None = None) -> Data
 
     One job per folder level: the folders of a level are dealt out over ``tasks`` and
     listed in parallel.  Each level is written to a table, so the result is a fixed snapshot.
+    A root that does not exist is an error; a folder that goes meanwhile holds nothing.
     """
     schema = "relative_path string, is_folder boolean, size_bytes bigint, modified_us bigint"
     folders = spark.range(1).select(F.lit("").alias("relative_path"))
     found = None
-    for _ in range(MAX_DEPTH):
+    while True:
         level = durable(folders.repartition(_tasks(spark, tasks)).mapInArrow(_list_task(root), schema))
         found = level if found is None else found.unionByName(level)
         folders = level.filter("is_folder").select("relative_path")
         if folders.isEmpty():
             break
-    else:
-        raise ValueError(f"folders nest deeper than {MAX_DEPTH}: do links form a cycle?")
     return found.filter("NOT is_folder").select(
         "relative_path", "size_bytes", wall(F.timestamp_micros("modified_us")).alias("modified_ts")
     )
@@ -67,7 +65,7 @@ def _list_task(root: str):
 
         filesystem, base = _open_fs(root)
         for folder in _values(batches, "relative_path"):
-            entries = filesystem.get_file_info(FileSelector(f"{base}/{folder}".rstrip("/"), allow_not_found=True))
+            entries = filesystem.get_file_info(FileSelector(f"{base}/{folder}".rstrip("/"), allow_not_found=folder != ""))
             kept = [e for e in entries if e.type in (FileType.File, FileType.Directory)]
             values = [
                 [f"{folder}/{e.base_name}".lstrip("/") for e in kept],
@@ -193,10 +191,12 @@ def copy_files(
     concurrency: int | None = None,
     verify_md5: bool = False,
     backoff_seconds: float = 1.0,
+    overwrite: bool = False,
 ) -> DataFrame:
     """Copy the files of a manifest ``(path)`` and return one outcome row per file.
 
-    A target of the same size is skipped, a missing source fails at once, other errors are
+    A target of the same size is skipped, with ``verify_md5`` only if the contents agree and with ``overwrite`` never;
+    a missing source fails at once, a name that cannot be used is one failed row, other errors are
     retried with doubling waits.  The files are dealt out over ``concurrency`` tasks, by
     default one per core; more tasks repeat less after a lost executor, and what was copied
     is skipped then.  Copies are renamed into place, so a task that runs twice does no harm.
@@ -223,7 +223,7 @@ def copy_files(
         def rows():
             for p in _values(batches, "path"):
                 yield _copy_one(
-                    source_fs, f"{source}/{p}", target_fs, f"{target}/{p}", p, attempts, verify_md5, backoff_seconds, made
+                    source_fs, f"{source}/{p}", target_fs, f"{target}/{p}", p, attempts, verify_md5, backoff_seconds, made, overwrite
                 )
 
         return _in_batches(rows(), columns)
@@ -232,15 +232,19 @@ def copy_files(
     return dealt.mapInArrow(run, OUTCOME_SCHEMA)
 
 
-def _copy_one(source_fs, source, target_fs, target, path, attempts, verify_md5, backoff, made):
+def _copy_one(source_fs, source, target_fs, target, path, attempts, verify_md5, backoff, made, overwrite=False):
     from pyarrow.fs import FileType
 
-    info = source_fs.get_file_info(source)
-    if info.type != FileType.File:
-        return (path, "failed", False, "source file not found", None, 0, None)
-    there = target_fs.get_file_info(target)
-    if there.type == FileType.File and there.size == info.size:
-        return (path, "success", True, None, info.size, 0, None)
+    try:
+        info = source_fs.get_file_info(source)
+        if info.type != FileType.File:
+            return (path, "failed", False, "source file not found", None, 0, None)
+        there = target_fs.get_file_info(target)
+        if not overwrite and there.type == FileType.File and there.size == info.size:
+            if not verify_md5 or _md5(source_fs, source) == _md5(target_fs, target):
+                return (path, "success", True, None, info.size, 0, None)
+    except OSError as error:
+        return (path, "failed", False, str(error), None, 0, None)
     problem = ""
     for attempt in range(1, attempts + 1):
         try:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from estate.functions.loglines import strip
-from estate.session import broadcast_if_small, durable
+from estate.session import durable
 
 _FILE, _BLOCK, _ID = "file", "_block", "_id"
 
@@ -29,7 +29,7 @@ def read_log_lines(spark: SparkSession, pattern: str | list[str], line_numbers:
     blocks = numbered.groupBy(_FILE, _BLOCK).agg(F.min(_ID).alias("_first"), F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(_FILE).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(_FILE, _BLOCK, "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    joined = numbered.join(broadcast_if_small(offsets), [_FILE, _BLOCK])
+    joined = numbered.join(durable(offsets), [_FILE, _BLOCK])
     return joined.select(
         _FILE,
         (F.col("_before") + F.col(_ID) - F.col("_first") + 1).alias("line_number"),

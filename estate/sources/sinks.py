@@ -33,28 +33,24 @@ def write_report_json(df: DataFrame, location: str) -> None:
     df.write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss").json(location)
 
 
-def append_ledger(outcomes: DataFrame, location: str) -> None:
-    """Append outcomes as one partition per ``(run_id, batch)``.
+def append_ledger(outcomes: DataFrame, location: str, append_id: str) -> None:
+    """Append outcomes as one partition per ``(run_id, batch, append_id)``.
 
-    Writing a batch again replaces it, so a repeated job leaves each outcome once; other
-    partitions are not read or rewritten.  The rebalance hint gathers small batches into
+    The caller names the append: the same name again is a replay and replaces its own partitions, so a repeated
+    job leaves each outcome once; another name adds rows, also to a batch that is there.  Other partitions are
+    not read or rewritten.  The rebalance hint gathers small batches into
     few files and splits a large one over several tasks.
     """
     (
-        outcomes.hint("rebalance", "run_id", "batch")
+        outcomes.withColumn("append_id", F.lit(append_id))
+        .hint("rebalance", "run_id", "batch")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id", "batch")
+        .partitionBy("run_id", "batch", "append_id")
         .parquet(location)
     )
 
 
-def read_appended(df_or_spark, location: str, schema: str | None = None) -> DataFrame:
-    spark = getattr(df_or_spark, "sparkSession", df_or_spark)
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(location)
-
-
 def backup_ledger(ledger: DataFrame, location: str, snapshot_id: str) -> str:
     """Keep the ledger as it is now under ``snapshot_id`` and return where."""
     target = f"{location.rstrip('/')}/snapshot_id={snapshot_id}"

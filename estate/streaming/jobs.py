@@ -7,6 +7,7 @@ driver.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -57,7 +58,7 @@ def sliding_error_rate(
     return (
         _timed(outcomes, late)
         .groupBy(F.window("event_ts", width, slide))
-        .agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("status") != SUCCESS).alias("failed"))
+        .agg(F.count(F.lit(1)).alias("files"), F.count_if(~F.col("status").eqNullSafe(F.lit(SUCCESS))).alias("failed"))
         .select(*_bounds(), "files", "failed", F.round(ratio(F.col("failed"), F.col("files"), 100.0), 6).alias("error_rate"))
     )
 
@@ -123,15 +124,20 @@ def run_updates(stream: DataFrame, keys: list[str], out: str, checkpoint: str) -
 
 
 def run_ledger_upsert(outcomes: DataFrame, run_id: str, out: str, checkpoint: str) -> DataFrame:
-    """Append each micro-batch to the ledger as partition ``(run_id, batch)``."""
+    """Append each micro-batch to the ledger as partition ``(run_id, batch)`` of this stream.
+
+    Micro-batches count from 0 in each checkpoint, so the checkpoint names the append: another stream adds its own rows.
+    """
+    stream_id = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_ledger(batch.withColumns({"run_id": F.lit(run_id), "batch": F.lit(batch_id)}), out)
+        append_ledger(batch.withColumns({"run_id": F.lit(run_id), "batch": F.lit(batch_id)}), out, stream_id)
 
     _drain(outcomes, write, "append", checkpoint)
     return _read_or_empty(
-        outcomes.sparkSession, out, outcomes.schema, StructField("run_id", StringType()), StructField("batch", LongType())
-    )
+        outcomes.sparkSession, out, outcomes.schema, StructField("run_id", StringType()), StructField("batch", LongType()),
+        StructField("append_id", StringType()),
+    ).drop("append_id")
 
 
 def _read_or_empty(spark: SparkSession, path: str, columns: StructType, *partitions: StructField) -> DataFrame:

@@ -28,7 +28,6 @@ def test_scan(spark, tmp_path):
     assert only == {"a/x.PDF", "a/b c/é.xls", "a/big.msg", "a/_draft.pdf"}
     every = {r.relative_path for r in files.scan_files_filtered(spark, str(tmp_path), transfer_types_only=False).collect()}
     assert every == only | {"top.txt"}
-    assert files.scan_files(spark, str(tmp_path / "nowhere")).count() == 0
     os.utime(tmp_path / "top.txt", (1_700_000_000.25, 1_700_000_000.25))
     row = files.scan_files(spark, str(tmp_path)).filter("relative_path = 'top.txt'").first()
     assert row.modified_ts == datetime(2023, 11, 14, 22, 13, 20, 250000)
@@ -53,7 +52,7 @@ def test_copy(spark, rows, tmp_path):
     assert {p: (r.status, r.skipped, r.attempt) for p, r in got.items() if p != "blocked/y.pdf"} == {
         "a/x.PDF": ("success", False, 1),
         "a/b c/é.xls": ("success", False, 1),
-        "top.txt": ("success", True, 0),
+        "top.txt": ("success", False, 1),
         "none.pdf": ("failed", False, 0),
     }
     assert (got["blocked/y.pdf"].status, got["blocked/y.pdf"].attempt) == ("failed", 2) and got["blocked/y.pdf"].error
@@ -137,7 +136,30 @@ def test_flatten_hierarchy(spark, rows):
 def test_cycle_is_reported(spark, rows):
     loop = rows([(1, 0, "a", True), (2, 1, "b", True), (1, 2, "a", True)], ITEM)
     with pytest.raises(ValueError, match="cycle"):
-        hierarchy.folder_paths(loop, 0, max_depth=4)
+        hierarchy.folder_paths(loop, 0)
+
+
+def test_nameless_folder_is_kept(spark, rows):
+    items = rows([(1, 0, None, True), (2, 1, "b", True), (3, 2, "f.pdf", False)], ITEM)
+    assert [r.path for r in hierarchy.flatten_hierarchy(items, 0).collect()] == ["b/f.pdf"]
+
+
+def test_missing_root_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="nowhere"):
+        files.scan_files(spark, str(tmp_path / "nowhere")).count()
+
+
+def test_copy_of_changed_file_and_impossible_name(spark, rows, tmp_path):
+    (tmp_path / "s").mkdir()
+    (tmp_path / "t").mkdir()
+    (tmp_path / "s" / "a.txt").write_text("new")
+    (tmp_path / "t" / "a.txt").write_text("old")
+    listed, roots = rows([("a.txt",), ("x" * 300,)], "path string"), (str(tmp_path / "s"), str(tmp_path / "t"))
+    plain = {r.path[:5]: (r.status, r.skipped) for r in files.copy_files(listed, *roots).collect()}
+    assert plain == {"a.txt": ("success", True), "xxxxx": ("failed", False)}
+    checked = {r.path[:5]: (r.status, r.skipped) for r in files.copy_files(listed, *roots, verify_md5=True).collect()}
+    assert checked["a.txt"] == ("success", False) and (tmp_path / "t" / "a.txt").read_text() == "new"
+    assert not any(r.skipped for r in files.copy_files(listed, *roots, overwrite=True).collect())
 
 
 def test_resolve_folder(spark, rows):

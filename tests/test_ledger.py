@@ -163,10 +163,26 @@ def test_append_ledger_is_idempotent(spark, rows, tmp_path):
     first = rows([("r", "a", 1, "success", False, None, 5, at(1), 1), ("r", "b", 1, "failed", False, "x", 0, at(1), 2)], LEDGER)
     again = rows([("r", "b", 2, "success", False, None, 7, at(2), 2)], LEDGER)
     for part in (first, first, again):
-        sinks.append_ledger(part, where)
+        sinks.append_ledger(part, where, "one")
     back = spark.read.parquet(where)
     assert {(r.path, r.attempt, r.status) for r in back.collect()} == {("a", 1, "success"), ("b", 2, "success")}
     assert back.count() == 2
+    more = rows([("r", "c", 1, "success", False, None, 7, at(2), 2)], LEDGER)
+    for _ in range(2):
+        sinks.append_ledger(more, where, "two")
+    assert sorted(r.path for r in spark.read.parquet(where).collect()) == ["a", "b", "c"]
+
+
+def test_whatever_is_no_success_is_still_to_be_done(spark, rows):
+    data = [("r", p, 1, s, False, None, 5, at(1), 1) for p, s in zip("abcd", ("success", "pending", "failed", None))]
+    open_ = rows(data, LEDGER)
+    manifest = rows([("i", "b", "u", 1), ("i", "b", "u", 1), (None, "c", "", 2)], "id string, path string, download_url string, size bigint")
+    plan = ledger.retry_plan(open_, manifest).collect()
+    assert sorted(r.path for r in plan) == ["b", "c", "d"]
+    retried = rows([("r", "c", 2, "success", False, None, 5, at(2), 1)], LEDGER)
+    merged = ledger.merge_retry(open_, retried).collect()
+    assert sorted((r.path, r.status or "") for r in merged) == [("a", "success"), ("b", "pending"), ("c", "success"), ("d", "")]
+    assert {r.outcome: r.entries for r in ledger.status_counts(open_).collect()} == {"downloaded": 1, "failed": 3}
 
 
 def test_backup_is_never_overwritten(spark, rows, tmp_path):

@@ -38,14 +38,3 @@ def test_durable_keeps_rows_and_schema(spark, rows):
     df = rows([(1, None, [1.5]), (None, "é", [])], "a bigint, b string, c array<double>")
     kept = session.durable(df)
     assert sorted(map(str, kept.collect())) == sorted(map(str, df.collect())) and kept.dtypes == df.dtypes
-
-
-def test_broadcast_only_when_counted_small(spark):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        sides = [session.broadcast_if_small(spark.range(n), rows=10) for n in (10, 11)]
-        plans = [spark.range(5).join(s, "id")._jdf.queryExecution().executedPlan().toString() for s in sides]
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert ["BroadcastHashJoin" in p for p in plans] == [True, False]
