@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from estate.llm.prefix_tokens import _with
 from estate.llm.words import fresh, string_buffers, text_slices
+from estate.operators.ordering import top_n_per_group
 
 #: longest context in bytes
 ORDER = 3
@@ -101,14 +102,15 @@ def fit(labelled: DataFrame, max_documents: int = 500, max_bytes: int = 200_000)
     as their whole texts together stay within ``max_bytes``; so the counts that reach the driver are bounded by
     languages x ``max_bytes``.  Rows with null text or lang are left out.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    first = (
-        labelled.select("doc_id", "lang", "text", F.octet_length("text").alias("_n"))
-        .filter(F.col("lang").isNotNull() & (F.col("_n") > 0) & (F.col("_n") <= max_bytes))
-        .withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") <= max_documents)
+    order = [F.xxhash64("doc_id"), "doc_id", "_n"]
+    usable = labelled.select("doc_id", "lang", "text", F.octet_length("text").alias("_n")).filter(
+        F.col("lang").isNotNull() & (F.col("_n") > 0) & (F.col("_n") <= max_bytes)
     )
-    sample = first.withColumn("_until", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0))).filter(F.col("_until") <= max_bytes)
+    # ids first: texts follow for the chosen ones only, of which there are at most languages x max_documents
+    first = top_n_per_group(usable.select("doc_id", "lang", "_n"), ["lang"], order, max_documents, salt_on="doc_id")
+    running = F.sum("_n").over(Window.partitionBy("lang").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    chosen = first.withColumn("_until", running).filter(F.col("_until") <= max_bytes).select("doc_id", "lang", "_n").distinct()
+    sample = usable.join(F.broadcast(chosen), ["doc_id", "lang", "_n"], "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -13,11 +13,12 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estate.llm.prefix_tokens import _with
 from estate.llm.words import Memo, Words, fresh, text_slices
+from estate.operators.ordering import top_n_per_group
 from estate.session import durable
 
 #: documents of each label that are used at most for fitting
@@ -172,8 +173,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_per_label: int = MAX
     A label that several rows give is their maximum; null labels and ids are left out.
     """
     one = labels.filter("toxic IN (0, 1)").groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic")).filter(~held_out("_id"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("_id"), "_id")
-    chosen = one.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= max_per_label)
+    chosen = top_n_per_group(one, ["toxic"], [F.xxhash64("_id"), "_id"], max_per_label, salt_on="_id")
     part = F.pmod(F.xxhash64(F.lit("part"), "_id"), F.lit(_PARTS)).alias("_part")
     return docs.join(chosen, F.col("doc_id") == F.col("_id")).select("text", "toxic", part)
 
