@@ -1,12 +1,15 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-The labelled sample is split by a hash of the id: one part finds the lexicon, one grows the trees, one calibrates.
+The labelled sample is split by a hash of the id.  The features of each part come from a lexicon that the other parts
+give, so no label decides its own features; some parts grow the trees, the others calibrate.  All parts together
+give the lexicon that scores the documents.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,7 @@ STEMS = range(4, 10)
 NEAR = 5
 THRESHOLD = 0.7
 _PARTS = 5
-_LEXICON_PARTS, _TREE_PARTS = (0, 1), (2, 3)
+_TREE_PARTS = (0, 1, 2)
 
 SECOND_PERSON = frozenset(
     "you your yours yourself u ur du dich dir dein deine ihr euch sie tu te toi ton ta tes vous votre vos tú ti usted ustedes vosotros eres su".split()
@@ -137,25 +140,33 @@ def with_features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
     return docs.select(*keep, F.col("text").alias(at)).mapInArrow(run, _with(docs.select(*keep).schema, "_features array<double>"))
 
 
-def learn_lexicon(sample: DataFrame) -> dict[str, float]:
-    """Words and stems with their log odds, from ``text, toxic``: at most ``MAX_LEXICON``, by documents that hold them."""
+def count_words(sample: DataFrame) -> DataFrame:
+    """``_part, word, toxic, clean``: documents of each part and label with a word or stem, from ``_part, text, toxic``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[str, list[int]] = {}
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+            seen: dict[tuple[int, str], list[int]] = {}
+            columns = [batch.column(c).to_pylist() for c in ("_part", "text", "toxic")]
+            for part, text, toxic in zip(*columns, strict=True):
                 for word in {x for w in set((text or "").split()) for x in stems(plain(w)[0])} - {""}:
-                    seen.setdefault(word, [0, 0])[toxic] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.string()), *(pa.array([v[i] for v in seen.values()], pa.int64()) for i in (1, 0))], names=["word", "toxic", "clean"]
-            )
+                    seen.setdefault((part, word), [0, 0])[toxic] += 1
+            parts, words = ([k[i] for k in seen] for i in (0, 1))
+            counts = [pa.array([v[i] for v in seen.values()], pa.int64()) for i in (1, 0)]
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array(words, pa.string()), *counts], names=["_part", "word", "toxic", "clean"])
 
-    sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    odds = F.log((F.col("toxic") + 0.5) / (sizes.get(1, 0) + 1)) - F.log((F.col("clean") + 0.5) / (sizes.get(0, 0) + 1))
+    counted = sample.select("_part", "text", "toxic").mapInArrow(count, "_part bigint, word string, toxic bigint, clean bigint")
+    return counted.groupBy("_part", "word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def learn_lexicon(counted: DataFrame, toxic: int, clean: int) -> dict[str, float]:
+    """Words and stems with their log odds, from ``word, toxic, clean`` of ``toxic`` and ``clean`` documents.
+
+    At most ``MAX_LEXICON``, by documents that hold them.
+    """
+    odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     words = (
-        sample.select("text", "toxic").mapInArrow(count, "word string, toxic bigint, clean bigint")
-        .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .filter(F.col("toxic") >= max(MIN_TOXIC_DOCUMENTS, MIN_TOXIC_SHARE * sizes.get(1, 0)))
+        counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        .filter(F.col("toxic") >= max(MIN_TOXIC_DOCUMENTS, MIN_TOXIC_SHARE * toxic))
         .select("word", odds.alias("odds"), "toxic").filter("odds > 1")
         .orderBy((F.col("odds") * F.col("toxic")).desc(), "word").limit(MAX_LEXICON)
     )
@@ -182,21 +193,27 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_per_label: int = MAX_
     """``docs`` without its text, with ``score`` (0 to 1) and ``predicted`` (1 from ``THRESHOLD`` on).
 
     Scores come from whole texts alone.  Null and empty texts are scored by their features, all zero.  Without
-    labels of both kinds in every part, the score is the share of toxic documents in the sample (0 if there is none).
+    labels of both kinds to grow and to calibrate, the score is the share of toxic documents in the sample (0 if there is none).
     Repeated rows stay; an empty table gives an empty result; columns with the names of the result are replaced.
     """
     own = ("score", "predicted")
     docs = docs.select(*[c for c in docs.columns if c.lower() not in own])
     sample = durable(labelled_sample(docs, labels, max_per_label))
     count = {(r["_part"], r["toxic"]): r["n"] for r in sample.groupBy("_part", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    groups = (_LEXICON_PARTS, _TREE_PARTS, tuple(p for p in range(_PARTS) if p not in _LEXICON_PARTS + _TREE_PARTS))
+    groups = (_TREE_PARTS, tuple(p for p in range(_PARTS) if p not in _TREE_PARTS))
     if not all(sum(count.get((p, label), 0) for p in g) for g in groups for label in (0, 1)):
         share = sum(n for (_, label), n in count.items() if label) / max(sum(count.values()), 1)
         flat = docs.drop("text").withColumn("score", F.lit(float(share)))
         return flat.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
-    lexicon = learn_lexicon(sample.filter(F.col("_part").isin(*_LEXICON_PARTS)))
-    fit = durable(with_features(sample.filter(~F.col("_part").isin(*_LEXICON_PARTS)), lexicon)).select(
+    words = durable(count_words(sample))
+    size = lambda label, without=None: sum(n for (p, other), n in count.items() if other == label and p != without)
+    parts = []
+    for p in range(_PARTS):
+        others = learn_lexicon(words.filter(F.col("_part") != p), size(1, p), size(0, p))
+        parts.append(with_features(sample.filter(F.col("_part") == p), others))
+    lexicon = learn_lexicon(words, size(1), size(0))
+    fit = durable(reduce(DataFrame.unionByName, parts)).select(
         "_part", F.col("toxic").cast("double").alias("label"), array_to_vector("_features").alias("features")
     )
     boosted = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, seed=7).fit(fit.filter(F.col("_part").isin(*_TREE_PARTS)))
