@@ -18,6 +18,11 @@ def normalize_path(path: Column | str, url: bool = False) -> Column:
     return F.regexp_replace(flat, "^/|/$" if url else "^/", "")
 
 
+def same_path(left: Column | str, right: Column | str) -> Column:
+    """Join condition: both name the same path, however it is written."""
+    return normalize_path(left) == normalize_path(right)
+
+
 def file_name(path: Column | str) -> Column:
     return F.substring_index(_col(path), "/", -1)
 

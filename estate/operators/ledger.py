@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from estate.functions import measures, rules
 from estate.functions.classify import classify_error, error_prefix
 from estate.functions.measures import gb, mb, ratio
+from estate.functions.paths import normalize_path, same_path
 
 SUCCESS = "success"
 
@@ -204,12 +205,12 @@ def freshness(
 def retry_plan(ledger: DataFrame, manifest: DataFrame) -> DataFrame:
     """What to do with each failed row; files missing from the manifest get empty defaults."""
     # a listing may name a path twice: one row per path, with an id if there is one
-    listed = manifest.groupBy("path").agg(F.max(F.struct("id", "download_url", "size")).alias("_m"))
-    listed = listed.select("path", F.col("_m.id").alias("_id"), F.col("_m.download_url").alias("_url"), F.col("_m.size").alias("_size"))
+    listed = manifest.groupBy(normalize_path("path").alias("_listed")).agg(F.max(F.struct("id", "download_url", "size")).alias("_m"))
+    listed = listed.select("_listed", F.col("_m.id").alias("_id"), F.col("_m.download_url").alias("_url"), F.col("_m.size").alias("_size"))
     url = F.coalesce(F.col("_url"), F.lit(""))
     stale = (url == "") | F.contains(F.coalesce(F.col("error"), F.lit("")), F.lit("401"))
     action = F.when(stale & F.col("_id").isNull(), "skip_no_id").when(stale, "refresh_url").otherwise("retry_as_is")
-    return failed(ledger).join(listed, "path", "left").select(
+    return failed(ledger).join(listed, same_path("path", "_listed"), "left").select(
         "path",
         "attempt",
         "error",
@@ -222,8 +223,8 @@ def retry_plan(ledger: DataFrame, manifest: DataFrame) -> DataFrame:
 
 def merge_retry(ledger: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Replace the rows of the retried paths that are no success by their new outcomes; all others stay."""
-    retried = outcomes.select("path", F.lit(True).alias("_retried")).distinct()
-    kept = ledger.join(retried, "path", "left").filter(_is_success() | F.col("_retried").isNull()).select(*ledger.columns)
+    retried = outcomes.select(normalize_path("path").alias("_retried")).distinct()
+    kept = ledger.join(retried, same_path("path", "_retried"), "left").filter(_is_success() | F.col("_retried").isNull()).select(*ledger.columns)
     return kept.unionByName(outcomes, allowMissingColumns=True)
 
 

@@ -74,25 +74,28 @@ def adaptive_batch_size(files: DataFrame) -> DataFrame:
 
 
 def sync_plan(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Action per source file; files only at the target are left alone."""
-    there = target.select(PATH, F.col(MODIFIED).alias("target_ts"))
+    """Action per source file; files only at the target are left alone.
+
+    A target that lists a path more than once counts with its newest row.
+    """
+    there = target.groupBy(paths.normalize_path(PATH).alias("_there")).agg(F.max(MODIFIED).alias("target_ts"))
     action = (
         F.when(F.col("_there").isNull(), "create")
         .when(F.col(MODIFIED) > F.col("target_ts"), "overwrite")
         .otherwise("skip")
     )
-    return source.join(there.withColumn("_there", F.lit(True)), PATH, "left").select(
-        PATH, SIZE, action.alias("action")
-    )
+    return source.join(there, paths.same_path(PATH, "_there"), "left").select(PATH, SIZE, action.alias("action"))
 
 
 def new_files(latest: DataFrame, previous: DataFrame, key: str = "path") -> DataFrame:
-    return latest.join(previous.select(key).distinct(), key, "left_anti")
+    """Rows of the latest listing whose path the previous one does not name."""
+    known = previous.select(paths.normalize_path(key).alias("_known")).distinct()
+    return latest.join(known, paths.same_path(key, "_known"), "left_anti")
 
 
 def migration_ready(manifest: DataFrame, files: DataFrame) -> DataFrame:
     """Manifest rows whose file exists, under its normalised target path."""
-    present = files.select(F.col(PATH).alias("target_path"))
+    present = files.select(paths.normalize_path(PATH).alias("target_path")).distinct()
     keyed = manifest.withColumn("target_path", paths.normalize_path("path"))
     return keyed.join(present, "target_path", "left_semi")
 
@@ -104,7 +107,7 @@ def sample_migration(ready: DataFrame, n: int = 100) -> DataFrame:
 
 def manifest_scope(manifest: DataFrame, files: DataFrame) -> DataFrame:
     """Listed files, target folders, bytes and ready files, one row."""
-    present = files.select(F.col(PATH).alias("target_path"), F.lit(1).alias("_ready"))
+    present = files.select(paths.normalize_path(PATH).alias("target_path")).distinct().withColumn("_ready", F.lit(1))
     keyed = manifest.withColumn("target_path", paths.normalize_path("path"))
     per_folder = (
         keyed.join(present, "target_path", "left")

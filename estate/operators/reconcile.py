@@ -1,4 +1,7 @@
-"""Joins between inventory, manifest and ledger, all on the normalised path."""
+"""Joins between inventory, manifest and ledger, all on the normalised path.
+
+The side that is looked up holds one row per path, so that no row of the other side is multiplied.
+"""
 
 from __future__ import annotations
 
@@ -7,24 +10,32 @@ from pyspark.sql import functions as F
 
 from estate.functions import rules
 from estate.functions.measures import gb, ratio
+from estate.functions.paths import normalize_path, same_path
 from estate.operators.ledger import SUCCESS, dedupe_latest, succeeded
 
 PATH, SIZE, MODIFIED = "relative_path", "size_bytes", "modified_ts"
 
 
 def completed_paths(ledger: DataFrame) -> DataFrame:
-    """Distinct paths with a success.  The same partitioning serves the join that follows."""
-    return succeeded(ledger).select(F.col("path").alias(PATH)).distinct()
+    """Distinct normalised paths with a success.  The same partitioning serves the join that follows."""
+    return succeeded(ledger).select(normalize_path("path").alias("_done")).distinct()
+
+
+def unique_files(files: DataFrame) -> DataFrame:
+    """One row per normalised path: the one modified last, the largest of several."""
+    deciding = [c for c in (MODIFIED, SIZE) if c in files.columns]
+    latest = files.groupBy(normalize_path(PATH).alias(PATH)).agg(F.max(F.struct(*deciding)).alias("_last"))
+    return latest.select(PATH, *[F.col(f"_last.{c}").alias(c) for c in deciding])
 
 
 def remaining_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Resume rule: inventory rows without a success, whatever the order of earlier runs."""
-    return files.join(completed_paths(ledger), PATH, "left_anti")
+    return files.join(completed_paths(ledger), same_path(PATH, "_done"), "left_anti")
 
 
 def already_done(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Inventory rows with a success, as skipped outcomes."""
-    done = files.join(completed_paths(ledger), PATH, "left_semi")
+    done = files.join(completed_paths(ledger), same_path(PATH, "_done"), "left_semi")
     return done.select(
         F.col(PATH).alias("path"), F.lit(SUCCESS).alias("status"), F.lit(True).alias("skipped"), F.col(SIZE)
     )
@@ -33,13 +44,13 @@ def already_done(files: DataFrame, ledger: DataFrame) -> DataFrame:
 def reconcile(ledger: DataFrame, disk: DataFrame) -> DataFrame:
     """Successful ledger paths against the disk.
 
-    Ledger rows are made unique per path first, from no more columns than decide the size.
+    Both sides are made unique per path first, the ledger from no more columns than decide the size.
     """
-    deciding = succeeded(ledger).select("path", *[c for c in ("event_ts", "attempt", "batch", SIZE) if c in ledger.columns])
+    deciding = succeeded(ledger).select(normalize_path("path").alias("path"), *[c for c in ("event_ts", "attempt", "batch", SIZE) if c in ledger.columns])
     left = dedupe_latest(deciding).select(
         F.col("path").alias(PATH), F.col(SIZE).alias("ledger_size"), F.lit(True).alias("_in_ledger")
     )
-    right = disk.select(PATH, F.col(SIZE).alias("disk_size"), F.lit(True).alias("_on_disk"))
+    right = unique_files(disk).select(PATH, F.col(SIZE).alias("disk_size"), F.lit(True).alias("_on_disk"))
     kind = (
         F.when(F.col("_in_ledger") & F.col("_on_disk"), "matched")
         .when(F.col("_on_disk"), "missing_from_progress")
@@ -71,15 +82,16 @@ def reconcile_summary(ledger: DataFrame, disk: DataFrame) -> DataFrame:
 
 def unify_registry(ledger: DataFrame, disk: DataFrame) -> DataFrame:
     """One row per known path, from the ledger's successes, the disk, or both."""
-    # the error text and the entry position decide nothing here
-    left = dedupe_latest(succeeded(ledger).drop("error", "entry_index")).select(
+    # the run, the error text and the entry position decide nothing here
+    named = succeeded(ledger).drop("run_id", "error", "entry_index").withColumn("path", normalize_path("path"))
+    left = dedupe_latest(named).select(
         "path",
         F.lit(True).alias("_in_ledger"),
         (~F.coalesce(F.col("skipped"), F.lit(False))).alias("_downloaded"),
         F.coalesce(F.col("status"), F.lit("unknown")).alias("_status"),
         F.col("event_ts").alias("ledger_ts"),
     )
-    right = disk.select(F.col(PATH).alias("path"), SIZE, MODIFIED, F.lit(True).alias("_on_disk"))
+    right = unique_files(disk).select(F.col(PATH).alias("path"), SIZE, MODIFIED, F.lit(True).alias("_on_disk"))
     return left.join(right, "path", "full_outer").select(
         "path",
         F.coalesce("_in_ledger", F.lit(False)).alias("in_progress"),
@@ -93,10 +105,10 @@ def unify_registry(ledger: DataFrame, disk: DataFrame) -> DataFrame:
 
 
 def rebuild_ledger(manifest: DataFrame, disk: DataFrame) -> DataFrame:
-    """A new ledger from the listing and what is on disk."""
-    present = disk.select(F.col(PATH).alias("path"), F.lit(True).alias("_found"))
+    """A new ledger from the listing and what is on disk: one row per listed row."""
+    present = disk.select(normalize_path(PATH).alias("_found")).distinct()
     found = F.col("_found").isNotNull()
-    return manifest.join(present, "path", "left").select(
+    return manifest.join(present, same_path("path", "_found"), "left").select(
         "path",
         F.when(found, F.lit(SUCCESS)).otherwise(F.lit("pending")).alias("status"),
         F.when(found, F.coalesce("size", F.lit(0))).cast("bigint").alias(SIZE),

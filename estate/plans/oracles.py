@@ -103,8 +103,8 @@ _CTES = {
         split_part(relative_path, '/', -1) AS name, relative_path AS path,
         CASE WHEN file_key % 11 = 0 THEN '' ELSE 'https://h/' || file_key::VARCHAR END AS download_url,
         size_bytes AS size, file_key FROM files""",
-    "manifest1": "SELECT * FROM manifest WHERE file_key % 10 <> 0",
-    "disk": "SELECT * FROM files WHERE file_key % 5 <> 0",
+    "manifest1": "SELECT * REPLACE (CASE WHEN file_key % 10 = 0 THEN 'Moved/' || path ELSE path END AS path) FROM manifest",
+    "disk": "SELECT * REPLACE (CASE WHEN file_key % 5 = 0 THEN 'Moved/' || relative_path ELSE relative_path END AS relative_path) FROM files",
     "matched": """SELECT coalesce(l.path, d.relative_path) AS relative_path,
         CASE WHEN l.path IS NOT NULL AND d.relative_path IS NOT NULL THEN 'matched'
              WHEN d.relative_path IS NOT NULL THEN 'missing_from_progress' ELSE 'missing_from_filesystem' END AS match,
@@ -121,17 +121,18 @@ _CTES = {
         CASE WHEN d.relative_path IS NOT NULL THEN m.size END AS size_bytes,
         CASE WHEN d.relative_path IS NULL THEN 'Not found in downloaded files' END AS error
       FROM manifest m LEFT JOIN disk d ON m.path = d.relative_path""",
-    "retried": """SELECT run_id, path, (attempt + 10)::INTEGER AS attempt,
+    "retried": """SELECT run_id, CASE WHEN batch % 2 <> 0 THEN 'Moved/' || path ELSE path END AS path, (attempt + 10)::INTEGER AS attempt,
         CASE WHEN entry_index % 2 = 0 THEN 'success' ELSE 'failed' END AS status, skipped,
         CASE WHEN entry_index % 2 <> 0 THEN error END AS error,
         CASE WHEN entry_index % 2 = 0 THEN entry_index * 10 ELSE 0 END::BIGINT AS size_bytes, event_ts, batch, entry_index
-      FROM ledger WHERE status IS DISTINCT FROM 'success' AND batch % 2 = 0""",
+      FROM ledger WHERE status IS DISTINCT FROM 'success'""",
     "prefixes": """SELECT DISTINCT kind, array_to_string(parts[1:i], '/') AS directory FROM (
         SELECT kind, parts, unnest(range(2, len(parts) + 1)) AS i FROM (
           SELECT DISTINCT kind, string_split('Files/Estate/' || regexp_replace(p, '/[^/]*$', ''), '/') AS parts FROM (
             SELECT 'required' AS kind, relative_path AS p FROM files
-            UNION ALL SELECT 'created', relative_path FROM files WHERE relative_path LIKE 'Plant%' OR year(modified_ts) % 2 = 0
-            UNION ALL SELECT 'attempted', path FROM ledger WHERE status IS DISTINCT FROM 'success' AND batch < 5) WHERE contains(p, '/')))""",
+            UNION ALL SELECT 'created', CASE WHEN relative_path LIKE 'Plant%' OR year(modified_ts) % 2 = 0 THEN '' ELSE 'Moved/' END
+              || relative_path FROM files
+            UNION ALL SELECT 'attempted', path FROM ledger WHERE status IS DISTINCT FROM 'success') WHERE contains(p, '/')))""",
     "dirs": """SELECT directory, (length(directory) - length(replace(directory, '/', '')))::INTEGER AS depth
       FROM prefixes WHERE kind = 'required'""",
     "totals": """SELECT count(*) AS entries, count(*) FILTER (status = 'success' AND NOT skipped) AS downloaded,
@@ -174,8 +175,8 @@ _CTES = {
         floor(value * 1000)::BIGINT AS size_bytes, ts AS event_ts FROM events""",
     "polls": """SELECT run_id, ts, sum(ok) OVER w AS success, sum(bad) OVER w AS failed FROM (
         SELECT 'run_' || (user_id % 3)::VARCHAR AS run_id, date_trunc('hour', ts) AS ts,
-          count(*) FILTER (event_type = 'click') AS ok, count(*) FILTER (event_type = 'error') AS bad
-        FROM events WHERE event_type IN ('click', 'error') GROUP BY ALL) WINDOW w AS (PARTITION BY run_id ORDER BY ts)""",
+          count(*) FILTER (event_type <> 'error') AS ok, count(*) FILTER (event_type = 'error') AS bad
+        FROM events GROUP BY ALL) WINDOW w AS (PARTITION BY run_id ORDER BY ts)""",
     "contents": f"""SELECT doc_id, source || '/' || lang || '/doc_' || doc_id::VARCHAR
         || {_case('(doc_id % 5)', t.DOC_EXTENSIONS)} AS relative_path, text, octet_length(encode(text)) AS size_bytes FROM documents""",
 }

@@ -194,8 +194,8 @@ def retry_plan(spark, d):
 
 
 def _retried(spark, d):
-    """New outcomes of the failed rows of even batches; half of them succeed."""
-    again = ledger.failed(t.ledger(spark, d)).filter(F.col("batch") % 2 == 0)
+    """New outcomes of the rows that are no success; half of them succeed, those of odd batches stand for other paths."""
+    again = t.elsewhere(ledger.failed(t.ledger(spark, d)), "path", F.col("batch") % 2 != 0)
     ok = F.col("entry_index") % 2 == 0
     return again.withColumns(
         {

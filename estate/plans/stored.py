@@ -33,10 +33,9 @@ def _run(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def _as_files(spark: SparkSession, d: str, where: str | None = None, label: str = "files") -> str:
+def _as_files(spark: SparkSession, d: str, elsewhere: str = "false", label: str = "files") -> str:
     root = new_location(spark, label)
-    content = t.contents(spark, d)
-    _run(files.write_files(content.filter(where) if where else content, root))
+    _run(files.write_files(t.elsewhere(t.contents(spark, d), "relative_path", F.expr(elsewhere)), root))
     return root
 
 
@@ -62,8 +61,8 @@ def content_checksum(spark, d):
 
 @query
 def copy_files(spark, d):
-    source = _as_files(spark, d, "doc_id % 10 <> 0", "source")
-    target = _as_files(spark, d, "doc_id % 7 = 0", "target")
+    source = _as_files(spark, d, "doc_id % 10 = 0", "source")
+    target = _as_files(spark, d, "doc_id % 7 <> 0", "target")
     listed = t.contents(spark, d).select(F.col("relative_path").alias("path"))
     location = new_location(spark, "outcomes")
     # the outcomes are kept: reading them again must not copy again

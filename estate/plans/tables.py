@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from estate.functions import paths
 from estate.operators.inventory import directory_prefixes
+from estate.operators.ledger import failed
 from estate.operators.progress import outcomes_over_time
 
 BASE = "Files/Estate"
@@ -69,6 +70,23 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def elsewhere(df: DataFrame, column: str, when: Column) -> DataFrame:
+    """``df`` with the paths of some rows under another folder: they meet no row of the estate, and no row is lost."""
+    return df.withColumn(column, F.when(when, F.concat(F.lit("Moved/"), F.col(column))).otherwise(F.col(column)))
+
+
+def otherwise_written(df: DataFrame, column: str, key: Column) -> DataFrame:
+    """``df`` with backslashes in the paths of some rows, doubled or leading slashes in those of others."""
+    path = F.col(column)
+    return df.withColumn(
+        column,
+        F.when(key % 6 == 1, F.replace(path, F.lit("/"), F.lit("\\")))
+        .when(key % 6 == 2, F.replace(path, F.lit("/"), F.lit("//")))
+        .when(key % 6 == 3, F.concat(F.lit("/"), path))
+        .otherwise(path),
+    )
+
+
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One outcome per lineitem row; its many repeated paths are the duplicate entries."""
     outcome = load(spark, sf_dir, "lineitem")
@@ -94,14 +112,15 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, sf_dir: str, version: int = 2) -> DataFrame:
-    """Source listing; version 1 lacks a tenth of the files."""
+    """Source listing; version 1 holds a tenth of the files in another folder, names paths in several ways and some twice."""
     listed = files(spark, sf_dir)
-    if version == 1:
-        listed = listed.filter(F.col("file_key") % 10 != 0)
     key = F.col("file_key")
+    if version == 1:
+        listed = elsewhere(listed, "relative_path", key % 10 == 0)
+        listed = otherwise_written(listed.unionByName(listed.filter(key % 9 == 0)), "relative_path", key)
     return listed.select(
         F.when(key % 13 != 0, F.concat(F.lit("id-"), key.cast("string"))).alias("id"),
-        paths.file_name("relative_path").alias("name"),
+        paths.file_name(paths.normalize_path("relative_path")).alias("name"),
         F.col("relative_path").alias("path"),
         F.when(key % 11 == 0, "").otherwise(F.concat(F.lit("https://h/"), key.cast("string"))).alias("download_url"),
         F.col("size_bytes").alias("size"),
@@ -110,18 +129,22 @@ def manifest(spark: SparkSession, sf_dir: str, version: int = 2) -> DataFrame:
 
 
 def disk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files found on disk: four of five."""
-    return files(spark, sf_dir).filter(F.col("file_key") % 5 != 0)
+    """Files found on disk: one of five in another folder, some listed twice, the older time with another size."""
+    key = F.col("file_key")
+    found = elsewhere(files(spark, sf_dir), "relative_path", key % 5 == 0)
+    again = found.filter(key % 9 == 0).withColumns(
+        {"size_bytes": F.col("size_bytes") + 7, "modified_ts": F.col("modified_ts") - F.make_dt_interval(F.lit(1))}
+    )
+    return found.unionByName(otherwise_written(again, "relative_path", key + 1)).transform(otherwise_written, "relative_path", key)
 
 
 def target_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target inventory: three of four files, a third of them older than the source."""
-    shift = F.when(F.col("file_key") % 3 == 0, F.lit(-1)).otherwise(F.lit(0))
-    return (
-        files(spark, sf_dir)
-        .filter(F.col("file_key") % 4 != 0)
-        .select("relative_path", "size_bytes", (F.col("modified_ts") + F.make_dt_interval(shift)).alias("modified_ts"))
-    )
+    """Target inventory: one of four files in another folder, a third older than the source, some listed again with an older time."""
+    key = F.col("file_key")
+    earlier = lambda df, days: df.withColumn("modified_ts", F.col("modified_ts") - F.make_dt_interval(days))
+    there = earlier(elsewhere(files(spark, sf_dir), "relative_path", key % 4 == 0), F.when(key % 3 == 0, 1).otherwise(0))
+    there = there.unionByName(earlier(there.filter(key % 7 == 0), F.lit(5)))
+    return otherwise_written(there, "relative_path", key).select("relative_path", "size_bytes", "modified_ts")
 
 
 def directories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,14 +152,14 @@ def directories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def created_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Folders created so far: those of the ``P`` rows and those of one year in two."""
-    made = files(spark, sf_dir).filter(F.startswith("relative_path", F.lit("Plant")) | (F.year("modified_ts") % 2 == 0))
-    return directory_prefixes(made, BASE)
+    """Folders created so far: those of one year in two stand in another folder, but for the ``P`` rows."""
+    other = ~F.startswith("relative_path", F.lit("Plant")) & (F.year("modified_ts") % 2 != 0)
+    return directory_prefixes(elsewhere(files(spark, sf_dir), "relative_path", other), BASE)
 
 
 def attempted_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Folders of the failed outcomes."""
-    tried = ledger(spark, sf_dir).filter("status = 'failed' AND batch < 5").select(F.col("path").alias("relative_path"))
+    """Folders of the outcomes that are no success."""
+    tried = failed(ledger(spark, sf_dir)).select(F.col("path").alias("relative_path"))
     return directory_prefixes(tried, BASE)
 
 
@@ -192,8 +215,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cumulative outcomes per run and hour."""
     events = load(spark, sf_dir, "events")
     run = F.concat(F.lit("run_"), (F.col("user_id") % 3).cast("string")).alias("run_id")
-    polled = events.filter(F.col("event_type").isin("click", "error")).select(run, *outcome_columns())
-    return outcomes_over_time(polled)
+    return outcomes_over_time(events.select(run, *outcome_columns()))
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from datetime import datetime
 
 import pytest
 
-from estate.operators import ledger, reconcile
+from estate.operators import ledger, planning, reconcile
 from estate.plans import tables as t
 from estate.sources import documents, sinks
 
@@ -132,6 +132,29 @@ def test_remaining_and_done_make_the_inventory(spark, sf_dir):
     assert not left & done and left | done == {r[0] for r in files.select("relative_path").collect()}
 
 
+def test_joins_meet_on_the_normalised_path_and_multiply_nothing(spark, rows):
+    listed = "relative_path string, size_bytes bigint, modified_ts timestamp_ntz"
+    files = rows([("x/a", 1, at(1)), ("x/b", 1, at(1)), ("x/c", 1, at(1))], listed)
+    disk = rows([("x\\a", 9, at(1)), ("/x//a", 4, at(2)), ("x/b", 1, at(1)), ("x/d", 1, at(1))], listed)
+    outcomes = rows([("r", "x\\a", 1, "success", False, None, 4, at(1), 1), ("r", "x//c", 1, "failed", False, "e", 0, at(1), 1)], LEDGER)
+    manifest = rows([("i", "x\\a", "u", 4), ("j", "/x/c", "u", 5), ("j", "x/c", "u", 5)], "id string, path string, download_url string, size bigint")
+
+    assert sorted(r.relative_path for r in reconcile.remaining_files(files, outcomes).collect()) == ["x/b", "x/c"]
+    assert [r.path for r in reconcile.already_done(files, outcomes).collect()] == ["x/a"]
+    matched = sorted((r.relative_path, r.match, r.disk_size) for r in reconcile.reconcile(outcomes, disk).collect())
+    assert matched == [("x/a", "matched", 4), ("x/b", "missing_from_progress", 1), ("x/d", "missing_from_progress", 1)]
+    known = sorted((r.path, r.in_progress, r.modified_ts) for r in reconcile.unify_registry(outcomes, disk).collect())
+    assert known == [("x/a", True, at(2)), ("x/b", False, at(1)), ("x/d", False, at(1))]
+    assert sorted(r.status for r in reconcile.rebuild_ledger(manifest, disk).collect()) == ["pending", "pending", "success"]
+    assert [(r.path, r.id, r["size"]) for r in ledger.retry_plan(outcomes, manifest).collect()] == [("x//c", "j", 5)]
+    retried = rows([("r", "x/c", 2, "success", False, None, 5, at(2), 1)], LEDGER)
+    assert sorted((r.path, r.status) for r in ledger.merge_retry(outcomes, retried).collect()) == [("x/c", "success"), ("x\\a", "success")]
+    plan = sorted((r.relative_path, r.action) for r in planning.sync_plan(files, disk).collect())
+    assert plan == [("x/a", "skip"), ("x/b", "skip"), ("x/c", "create")]
+    assert planning.manifest_scope(manifest, disk).first().ready_files == 1
+    assert [r.id for r in planning.new_files(manifest, manifest.filter("id = 'j'").limit(1)).collect()] == ["i"]
+
+
 def test_failed_files_stay_remaining(spark, rows):
     files = rows([("a", 1), ("b", 1), ("c", 1)], "relative_path string, size_bytes bigint")
     outcomes = rows([("r", "a", 1, "failed", False, "x", 0, at(1), 9), ("r", "b", 1, "success", False, None, 1, at(1), 1)], LEDGER)
