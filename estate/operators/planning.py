@@ -25,6 +25,17 @@ def with_batch(numbered: DataFrame, batch_size: int) -> DataFrame:
     return numbered.withColumn("batch", batch)
 
 
+def resume_batches(
+    files: DataFrame, completed: DataFrame, batch_size: int = 100, smallest_first: bool = True
+) -> DataFrame:
+    """Resume from a ledger of whole batches: the files of the batches that ``completed`` does not name.
+
+    The batches must have been cut from the same files with the same size and order.
+    """
+    done = completed.select("batch").distinct()
+    return assign_batches(files, batch_size, smallest_first).join(done, "batch", "left_anti")
+
+
 def dirs_creation_order(directories: DataFrame, batch_size: int = 10) -> DataFrame:
     """Shallowest first, in batches."""
     keyed = directories.withColumn("depth", paths.depth("directory"))

@@ -379,6 +379,30 @@ def oracle_sql() -> dict[str, str]:
         count(*) FILTER (status IS DISTINCT FROM 'success') AS still_failed, sum(size_bytes) FILTER (status = 'success')::BIGINT AS recovered_bytes,
         round(100.0::DOUBLE * count(*) FILTER (status = 'success') / count(*), 2) AS success_rate FROM retried""",
     )
+    put(
+        "retry_history",
+        "retried",
+        f"""SELECT {AS_OF} AS timestamp, count(*) AS attempted, count(*) FILTER (status = 'success') AS successful,
+        count(*) FILTER (status IS DISTINCT FROM 'success') AS still_failed FROM retried""",
+    )
+    put(
+        "retry_statistics",
+        "ledger retried",
+        """SELECT count(*) AS total_count, count(*) FILTER (ok) AS downloaded_count, count(*) FILTER (NOT ok) AS failed_count,
+        sum(size_bytes) FILTER (ok)::BIGINT AS total_size, round(100.0::DOUBLE * count(*) FILTER (ok) / count(*), 2) AS success_rate,
+        round(100.0::DOUBLE * count(*) FILTER (ok) / count(*), 2) AS completion_percentage FROM (
+          SELECT coalesce(status, '') = 'success' AS ok, size_bytes FROM ledger WHERE status = 'success' OR path NOT IN (SELECT path FROM retried)
+          UNION ALL SELECT status = 'success', size_bytes FROM retried)""",
+    )
+    put("read_inventory", "files", "SELECT relative_path, size_bytes, modified_ts FROM files")
+    put("read_directories", "dirs", "SELECT directory FROM dirs")
+    put(
+        "resume_batches",
+        "files",
+        """SELECT * FROM (SELECT relative_path, size_bytes, p AS position, (p - 1) // 100 + 1 AS batch
+          FROM (SELECT *, row_number() OVER (ORDER BY size_bytes, relative_path) AS p FROM files))
+        WHERE batch NOT IN (SELECT s_suppkey * 2 FROM supplier)""",
+    )
     put(
         "clear_failed",
         "ledger",

@@ -218,6 +218,17 @@ def retry_summary(spark, d):
     return ledger.retry_summary(_retried(spark, d))
 
 
+@query
+def retry_history(spark, d):
+    return ledger.retry_history(_retried(spark, d), AS_OF)
+
+
+@query
+def retry_statistics(spark, d):
+    """Statistics of the ledger after the retry."""
+    return matching.rebuild_summary(ledger.merge_retry(t.ledger(spark, d), _retried(spark, d)))
+
+
 @query
 def clear_failed(spark, d):
     kept, history = ledger.clear_failed(t.ledger(spark, d), AS_OF)

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estate.functions.measures import seconds_between, timestamp
-from estate.operators import inventory, ledger
+from estate.functions.paths import parent_dir
+from estate.operators import inventory, ledger, planning
 from estate.plans import tables as t
 from estate.session import new_location
 from estate.sources import documents, files, loglines, sinks
@@ -89,6 +90,36 @@ def read_manifest(spark, d):
     return documents.read_manifest(spark, location, multi_line=False)
 
 
+@query
+def read_inventory(spark, d):
+    location = new_location(spark, "inventory")
+    epoch = seconds_between(F.col("modified_ts"), timestamp("1970-01-01"))
+    entry = F.struct(F.col("relative_path").alias("path"), "relative_path", "size_bytes", epoch.alias("modified_time"))
+    doc = F.floor(F.col("file_key") / ENTRIES_PER_DOCUMENT)
+    rows = t.files(spark, d).groupBy(doc.alias("doc")).agg(F.collect_list(entry).alias("files"))
+    rows.select(F.to_json(F.struct(F.lit("2001-08-01T00:00:00").alias("timestamp"), "files")).alias("value")).write.text(location)
+    return documents.read_inventory(spark, location, multi_line=False)
+
+
+@query
+def read_directories(spark, d):
+    """One document per parent folder."""
+    location = new_location(spark, "directories")
+    rows = t.directories(spark, d).groupBy(parent_dir("directory").alias("parent")).agg(F.collect_list("directory").alias("directories"))
+    rows.select(F.to_json(F.struct(F.size("directories").alias("total_directories"), "directories")).alias("value")).write.text(location)
+    return documents.read_directories(spark, location, multi_line=False)
+
+
+@query
+def resume_batches(spark, d):
+    """Ledgers of whole batches, one per nation: together they name every second batch up to twice the suppliers."""
+    location = new_location(spark, "batches")
+    done = t.load(spark, d, "supplier").groupBy("s_nationkey").agg(F.collect_list(F.col("s_suppkey") * 2).alias("completed_batches"))
+    done.select(F.to_json(F.struct("completed_batches", F.array_max("completed_batches").alias("last_batch"))).alias("value")).write.text(location)
+    left = planning.resume_batches(t.files(spark, d), documents.read_ledger_batches(spark, location, multi_line=False))
+    return left.select("relative_path", "size_bytes", "position", "batch")
+
+
 def _ledger_documents(spark: SparkSession, d: str) -> DataFrame:
     """``(layout, doc, value)``: outcomes of ``events`` as JSON documents in all six layouts."""
     rows = t.load(spark, d, "events").select("event_id", *t.outcome_columns()).select(

@@ -6,6 +6,8 @@ lets Spark split large inputs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,104 +98,94 @@ def _epoch(seconds: Column) -> Column:
     return wall(F.timestamp_micros(F.round(seconds * 1_000_000).cast("bigint")))
 
 
-def _outcome(key: Column, status: Column | str, **given: Column) -> list[Column]:
-    """The nine ledger columns; what a layout does not hold is null."""
-    columns = {
-        "layout": "string",
-        "ledger_id": "string",
-        "path": "string",
-        "status": "string",
-        "skipped": "boolean",
-        "error": "string",
-        "size_bytes": "bigint",
-        "event_ts": "timestamp_ntz",
-        "batch": "int",
-    }
-    given = {"path": key, "status": F.lit(status) if isinstance(status, str) else status, "ledger_id": F.col("ledger_id"), **given}
-    given.setdefault("skipped", F.lit(False))
-    return [given.get(c, F.lit(None)).cast(t).alias(c) for c, t in columns.items()]
+#: columns of an outcome beside the id of its document
+_OUTCOME = {
+    "layout": "string",
+    "path": "string",
+    "status": "string",
+    "skipped": "boolean",
+    "error": "string",
+    "size_bytes": "bigint",
+    "event_ts": "timestamp_ntz",
+    "batch": "int",
+}
+
 
+def _outcome(layout: str, key: Column, status: Column | str, **given: Column) -> Column:
+    """The outcome of one entry; what a layout does not hold is null."""
+    given = {
+        "layout": F.lit(layout), "path": key, "status": F.lit(status) if isinstance(status, str) else status, "skipped": F.lit(False), **given
+    }
+    return F.struct(*[given.get(c, F.lit(None)).cast(t).alias(c) for c, t in _OUTCOME.items()])
 
-def ledger_rows(docs: DataFrame, layout: str) -> DataFrame:
-    """Outcome rows of parsed documents of one layout; rows without a path are dropped."""
-    name = F.lit(layout)
-    key = F.coalesce(F.nullif("r.path", F.lit("")), F.nullif("r.file", F.lit(""))) if layout in ("L1", "L5") else None
+
+def _named(text: Column) -> Column:
+    return F.nullif(text, F.lit(""))
+
+
+def _each(entries: Column, outcome: Callable[[Column], Column]) -> Column:
+    """The outcomes of an array that may be missing."""
+    return F.transform(F.coalesce(entries, F.array()), outcome)
+
+
+def _failure(layout: str, key: str, time: Callable[[Column], Column], batch: bool = False) -> Callable[[Column], Column]:
+    def outcome(r: Column) -> Column:
+        more = {"batch": r["batch"]} if batch else {}
+        return _outcome(layout, _named(r[key]), "failed", error=r["error"], event_ts=time(r["timestamp"]), **more)
+
+    return outcome
+
+
+def _outcomes(layout: str) -> Column:
+    """All outcomes of a document of one layout, successes first, as one array."""
     if layout in ("L1", "L5"):
-        good = docs.select("ledger_id", F.explode("results.success").alias("r")).select(
-            _outcome(
-                key,
-                "success",
-                layout=name,
-                skipped=F.coalesce("r.skipped", F.lit(False)),
-                size_bytes=F.col("r.size"),
-                event_ts=_iso(F.col("r.timestamp")),
-            )
-        )
-        bad = docs.select("ledger_id", F.explode("results.failed").alias("r")).select(
-            _outcome(
-                key,
-                F.coalesce("r.status", F.lit("failed")),
-                layout=name,
-                error=F.col("r.error"),
-                event_ts=_iso(F.col("r.timestamp")),
-            )
+        key = lambda r: F.coalesce(_named(r["path"]), _named(r["file"]))
+        good = _each(
+            F.col("results.success"),
+            lambda r: _outcome(
+                layout, key(r), "success", skipped=F.coalesce(r["skipped"], F.lit(False)), size_bytes=r["size"], event_ts=_iso(r["timestamp"])
+            ),
         )
-    elif layout == "L2":
-        good = docs.select("ledger_id", F.explode("completed_files").alias("k", "r")).select(
-            _outcome(
-                F.nullif("k", F.lit("")),
-                "success",
-                layout=name,
-                size_bytes=F.col("r.size"),
-                event_ts=_epoch(F.col("r.timestamp")),
-                batch=F.col("r.batch"),
-            )
+        bad = _each(
+            F.col("results.failed"),
+            lambda r: _outcome(layout, key(r), F.coalesce(r["status"], F.lit("failed")), error=r["error"], event_ts=_iso(r["timestamp"])),
         )
-        bad = docs.select("ledger_id", F.explode("failed_files_list").alias("r")).select(
-            _outcome(
-                F.nullif("r.path", F.lit("")),
+        return F.concat(good, bad)
+    if layout == "L2":
+        good = _each(
+            F.map_entries("completed_files"),
+            lambda r: _outcome(
+                layout, _named(r["key"]), "success",
+                size_bytes=r["value"]["size"], event_ts=_epoch(r["value"]["timestamp"]), batch=r["value"]["batch"],
+            ),
+        )
+        return F.concat(good, _each(F.col("failed_files_list"), _failure(layout, "path", _epoch, batch=True)))
+    if layout == "L3":
+        good = _each(F.col("completed_files"), lambda p: _outcome(layout, _named(p), "success"))
+        return F.concat(good, _each(F.col("failed_files"), _failure(layout, "file", _iso)))
+    if layout == "L4":
+        return _each(F.col("failed_files"), _failure(layout, "file", _iso))
+    if layout == "L6":
+
+        def either(e: Column) -> Column:
+            is_object = F.startswith(F.ltrim(e), F.lit("{"))
+            r = F.when(is_object, F.from_json(e, _FAILURE))
+            return _outcome(
+                layout,
+                F.when(is_object, F.coalesce(_named(r["path"]), _named(r["file"]))).otherwise(_named(e)),
                 "failed",
-                layout=name,
-                error=F.col("r.error"),
-                event_ts=_epoch(F.col("r.timestamp")),
-                batch=F.col("r.batch"),
+                error=F.when(is_object, r["error"]).otherwise(F.lit(rules.DOWNLOAD_FAILED)),
+                event_ts=_iso(r["timestamp"]),
             )
-        )
-    elif layout in ("L3", "L4"):
-        bad = docs.select("ledger_id", F.explode("failed_files").alias("r")).select(
-            _outcome(
-                F.nullif("r.file", F.lit("")),
-                "failed",
-                layout=name,
-                error=F.col("r.error"),
-                event_ts=_iso(F.col("r.timestamp")),
-            )
-        )
-        if layout == "L4":
-            good = None
-        else:
-            good = docs.select("ledger_id", F.explode("completed_files").alias("p")).select(
-                _outcome(F.nullif("p", F.lit("")), "success", layout=name)
-            )
-    elif layout == "L6":
-        element = docs.select("ledger_id", F.explode("failed_files").alias("e"))
-        is_object = F.startswith(F.ltrim("e"), F.lit("{"))
-        parsed = element.withColumn("r", F.when(is_object, F.from_json("e", _FAILURE)))
-        key = F.coalesce(F.nullif("r.path", F.lit("")), F.nullif("r.file", F.lit("")))
-        bad = parsed.select(
-            _outcome(
-                F.when(is_object, key).otherwise(F.nullif("e", F.lit(""))),
-                "failed",
-                layout=name,
-                error=F.when(is_object, F.col("r.error")).otherwise(F.lit(rules.DOWNLOAD_FAILED)),
-                event_ts=_iso(F.col("r.timestamp")),
-            )
-        )
-        good = None
-    else:
-        raise ValueError(f"unknown ledger layout {layout!r}")
-    rows = bad if good is None else good.unionByName(bad)
-    return rows.filter(F.col("path").isNotNull())
+
+        return _each(F.col("failed_files"), either)
+    raise ValueError(f"unknown ledger layout {layout!r}")
+
+
+def ledger_rows(docs: DataFrame, layout: str) -> DataFrame:
+    """Outcome rows of parsed documents of one layout, each read once; rows without a path are dropped."""
+    rows = docs.select("ledger_id", F.inline(_outcomes(layout)))
+    return rows.select("layout", "ledger_id", *[c for c in _OUTCOME if c != "layout"]).filter(F.col("path").isNotNull())
 
 
 def ledger_batches(docs: DataFrame) -> DataFrame:
@@ -201,6 +193,13 @@ def ledger_batches(docs: DataFrame) -> DataFrame:
     return docs.select("ledger_id", F.explode("completed_batches").alias("batch"))
 
 
+def read_ledger_batches(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Completed batch numbers of the L4 documents below ``path``; their failures come from ``read_ledger``."""
+    reader = spark.read.option("multiLine", str(multi_line).lower()).option("recursiveFileLookup", "true")
+    docs = reader.schema(LEDGER_LAYOUTS["L4"]).json(path)
+    return ledger_batches(docs.withColumn("ledger_id", F.col("_metadata.file_name")))
+
+
 def read_ledger_tolerant(spark: SparkSession, path: str, layout: str = "L1", multi_line: bool = True) -> DataFrame:
     """Parsed documents that never fail the job.
 
