@@ -18,9 +18,9 @@ def normalize_path(path: Column | str, url: bool = False) -> Column:
     return F.regexp_replace(flat, "^/|/$" if url else "^/", "")
 
 
-def same_path(left: Column | str, right: Column | str) -> Column:
-    """Join condition: both name the same path, however it is written."""
-    return normalize_path(left) == normalize_path(right)
+def same_path(path: Column | str, normalized: Column | str) -> Column:
+    """Join condition: a path, however it is written, names the normalised one, whose partitioning the join can re-use."""
+    return normalize_path(path) == _col(normalized)
 
 
 def file_name(path: Column | str) -> Column:

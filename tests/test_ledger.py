@@ -125,6 +125,39 @@ def test_inventory_and_directories(spark, tmp_path):
     assert [r.directory for r in documents.read_directories(spark, str(tmp_path / "d")).collect()] == ["F/a", "F/a/b"]
 
 
+def test_each_ledger_is_scanned_once_and_may_lack_a_part(spark, tmp_path):
+    only_failed = {
+        "L1": {"results": {"failed": [{"file": "a", "error": "x"}, None]}},
+        "L2": {"failed_files_list": [{"path": "a", "error": "x"}]},
+        "L3": {"failed_files": [{"file": "a", "error": "x"}]},
+        "L4": {"failed_files": [{"file": "a", "error": "x"}]},
+        "L5": {"results": {"failed": [{"path": "a", "error": "x"}]}},
+        "L6": {"failed_files": ["a", None]},
+    }
+    only_done = {
+        "L1": {"results": {"success": [{"file": "b", "size": 2}]}},
+        "L2": {"completed_files": {"b": {"size": 2, "batch": 1}}},
+        "L3": {"completed_files": ["b"]},
+        "L5": {"results": {"success": [{"path": "b", "size": 2}]}},
+    }
+    for layout in documents.LEDGER_LAYOUTS:
+        folder = tmp_path / layout
+        folder.mkdir()
+        write(folder, "one.json", only_failed[layout])
+        write(folder, "empty.json", {})
+        write(folder, "two.json", only_done.get(layout, {}))
+        got = documents.read_ledger(spark, str(folder), layout)
+        assert got._jdf.queryExecution().executedPlan().toString().count("FileScan json") == 1
+        assert sorted((r.path, r.status) for r in got.collect()) == [("a", "failed"), *([("b", "success")] if layout in only_done else [])]
+
+
+def test_resume_from_batches(spark, rows, tmp_path):
+    write(tmp_path, "one.json", {"completed_batches": [1, 3, 3], "failed_files": []})
+    files = rows([(f"f{i}", i) for i in range(7)], "relative_path string, size_bytes bigint")
+    left = planning.resume_batches(files, documents.read_ledger_batches(spark, str(tmp_path)), batch_size=2)
+    assert sorted((r.relative_path, r.batch) for r in left.collect()) == [("f2", 2), ("f3", 2), ("f6", 4)]
+
+
 def test_remaining_and_done_make_the_inventory(spark, sf_dir):
     files, rows_ = t.files(spark, sf_dir), t.ledger(spark, sf_dir)
     left = {r[0] for r in reconcile.remaining_files(files, rows_).select("relative_path").collect()}
