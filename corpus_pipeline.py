@@ -14,6 +14,8 @@ from estate.session import new_location
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: below this share the language of a text is taken as not known
 MIN_SCORE = 0.5
+#: words of a shingle; op7 has two by its own contract
+SHINGLE = 5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +26,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document of the smallest id stays."""
-    kept = superminhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
+    kept = superminhash.near_duplicates(docs, shingle=SHINGLE).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
     return docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
 
