@@ -4,16 +4,19 @@ A window of ``WINDOW`` words that occurs twice holds the same smallest run of ``
 each document is cut into segments, stretches of windows with the same anchor, and the anchor's hash
 names the shard: whatever can match meets there, and no document visits more than its own anchors' shards.
 
-1. Blocks of documents (by a hash of the id) send the anchor and content hash of each distinct segment with its first
-   place.  A passage that a third of all documents share is one row per block.
-2. The shard answers which segments come later than an equal one, and which are the first of their kind but
+1. Blocks of documents (by a hash of the id) count their distinct segments per anchor, and the shard tells which anchors
+   are hot: have more than ``HOT`` in all, such as a frequent line that stands between other words each time.  Windows with
+   a hot anchor are segments of their own, and a second hash of their words takes the place of the anchor.
+2. Blocks send the anchor and content hash of each distinct segment with its first place.  A passage that a third of
+   all documents share is one row per block.
+3. The shard answers which segments come later than an equal one, and which are the first of their kind but
    share an anchor with a different segment; anchors that occur once end here.
-3. Blocks send the words of the latter; each distinct segment is sent once in all.
-4. The shard builds the FM-index of its segments and streams them through it: backward search over the wavelet
+4. Blocks send the words of the latter; each distinct segment is sent once in all.
+5. The shard builds the FM-index of its segments and streams them through it: backward search over the wavelet
    matrix gives the matching statistics, and an interval whose earliest place lies before the window's own is reported.
-5. Blocks take the reported intervals out of their documents.
+6. Blocks take the reported intervals out of their documents.
 
-The exchange of the documents by block is written once and read three times.
+The exchange of the documents by block is written once and read four times.
 """
 
 from __future__ import annotations
@@ -33,7 +36,10 @@ from estate.llm.words import SLICE_BYTES, Words, fresh, mix, partitions, span_ha
 WINDOW, ANCHOR = 20, 8
 #: blocks per shuffle partition: a block of documents is held in memory
 BLOCKS = 4
+#: distinct segments of an anchor, summed over the blocks, from which on it is hot: no anchor brings more into an index
+HOT = 4096
 
+_TALLY = np.dtype([("anchor", "<u8"), ("n", "<i8")])
 _ENTRY = np.dtype([("anchor", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("start", "<i4")])
 _REPLY = np.dtype([("anchor", "<u8"), ("content", "<u8"), ("later", "u1"), ("index", "u1")])
 _SPAN = np.dtype([("doc", "<i8"), ("start", "<i4"), ("length", "<i4")])
@@ -47,9 +53,12 @@ def _ids(column: pa.Array) -> np.ndarray:
 
 
 class _Segments:
-    """The segments of a few documents: anchor and content hash, document, first word, number of words."""
+    """The segments of a few documents: anchor and content hash, document, first word, number of words.
 
-    def __init__(self, ids: np.ndarray, texts: pa.Array, window: int, anchor: int):
+    Each window with one of the ``hot`` anchors (sorted) is a segment; equal windows have the same anchor, so all are.
+    """
+
+    def __init__(self, ids: np.ndarray, texts: pa.Array, window: int, anchor: int, hot: np.ndarray):
         words = Words(texts)
         self.hashes = words.hashes()
         n, first = len(self.hashes), words.first
@@ -63,11 +72,15 @@ class _Segments:
         grams = np.arange(n - anchor + 1)
         key = span_hashes(self.hashes, grams, grams + anchor)
         best = _leftmost_smallest(key, window - anchor + 1)[at]
-        head = np.flatnonzero(np.r_[True, (best[1:] != best[:-1]) | (at[1:] != at[:-1] + 1) | (owner[at[1:]] != owner[at[:-1]])])
+        alone = np.isin(key[best], hot)
+        head = np.flatnonzero(np.r_[True, (best[1:] != best[:-1]) | (at[1:] != at[:-1] + 1) | (owner[at[1:]] != owner[at[:-1]]) | alone[1:]])
         start, end = at[head], at[np.r_[head[1:] - 1, len(at) - 1]] + window
         self.place, self.length, self.owner = start, end - start, owner[start]
         self.rows = np.zeros(len(start), _ENTRY)
         self.rows["anchor"] = key[best[head]]
+        alone = np.flatnonzero(alone[head])
+        if len(alone):
+            self.rows["anchor"][alone] = span_hashes(mix(self.hashes), start[alone], end[alone])
         self.rows["content"] = span_hashes(self.hashes, start, end)
         self.rows["doc"] = ids[self.owner]
         self.rows["start"] = start - first[self.owner]
@@ -135,7 +148,11 @@ def _payload(table: pa.Table, dtype: np.dtype) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, dtype)
 
 
-_SENT, _SPANS = 0, 1
+_SENT, _SPANS, _HOT = 0, 1, 2
+
+
+def _of_kind(table: pa.Table, kind: int) -> pa.Table:
+    return table.filter(pc.equal(table.column("kind"), kind))
 
 
 def _pack(spans: np.ndarray, hashes: np.ndarray) -> bytes:
@@ -195,17 +212,40 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     dealt = docs.withColumn(block, F.pmod(F.xxhash64("doc_id"), F.lit(shards * BLOCKS)).cast("int"))
     whole = dealt.repartition(shards, block)
 
-    def announce(key: tuple, table: pa.Table) -> pa.Table:
-        found = [_first_places(s.rows) for s in _cut(table)]
-        rows = _first_places(np.concatenate(found)) if found else np.zeros(0, _ENTRY)
-        shard = (rows["anchor"] % np.uint64(shards)).astype(np.int32)
+    def firsts_of(table: pa.Table, hot: np.ndarray) -> np.ndarray:
+        found = [_first_places(s.rows) for s in _cut(table, hot)]
+        return _first_places(np.concatenate(found)) if found else np.zeros(0, _ENTRY)
+
+    def count(key: tuple, table: pa.Table) -> pa.Table:
+        anchors, n = np.unique(firsts_of(table, np.zeros(0, np.uint64))["anchor"], return_counts=True)
+        rows = np.zeros(len(anchors), _TALLY)
+        rows["anchor"], rows["n"] = anchors, n
+        shard = (anchors % np.uint64(shards)).astype(np.int32)
         return _messages([(k, key[0].as_py(), _SENT, part.tobytes()) for k, part in _deal(shard, rows)])
 
-    def _cut(table: pa.Table) -> Iterator[_Segments]:
+    def judge(key: tuple, table: pa.Table) -> pa.Table:
+        rows = _payload(table, _TALLY)
+        source = np.repeat(table.column("block").to_numpy(), [len(x.as_buffer()) // _TALLY.itemsize for x in table.column("data")])
+        _, kind = np.unique(rows["anchor"], return_inverse=True)
+        hot = np.bincount(kind, rows["n"])[kind] > HOT if len(rows) else np.zeros(0, bool)
+        return _messages([(b, b, _HOT, part.tobytes()) for b, part in _deal(source[hot], rows["anchor"][hot])])
+
+    def announce(key: tuple, table: pa.Table, tallies: pa.Table) -> pa.Table:
+        hot, b = np.unique(_payload(tallies, np.dtype("<u8"))), key[0].as_py()
+        rows = firsts_of(table, hot)
+        shard = (rows["anchor"] % np.uint64(shards)).astype(np.int32)
+        messages = [(k, b, _SENT, part.tobytes()) for k, part in _deal(shard, rows)]
+        if len(hot):  # comes back with the replies
+            messages.append((b % shards, b, _HOT, hot.tobytes()))
+        return _messages(messages)
+
+    def _cut(table: pa.Table, hot: np.ndarray) -> Iterator[_Segments]:
         for part in _blocks(table, "text"):
-            yield _Segments(_ids(part.column("doc_id")), part.column("text"), window, anchor)
+            yield _Segments(_ids(part.column("doc_id")), part.column("text"), window, anchor, hot)
 
     def answer(key: tuple, table: pa.Table) -> pa.Table:
+        back = [(b, b, _HOT, x.as_py()) for b, x in zip(_of_kind(table, _HOT)["block"].to_pylist(), _of_kind(table, _HOT)["data"], strict=True)]
+        table = _of_kind(table, _SENT)
         rows = _payload(table, _ENTRY)
         source = np.repeat(table.column("block").to_numpy(), [len(x.as_buffer()) // _ENTRY.itemsize for x in table.column("data")])
         order = np.lexsort((rows["start"], rows["doc"], rows["content"], rows["anchor"]))
@@ -220,12 +260,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         reply["anchor"], reply["content"] = rows["anchor"], rows["content"]
         reply["later"], reply["index"] = later, several & ~later
         needed = later | several
-        return _messages([(b, b, _SENT, part.tobytes()) for b, part in _deal(source[needed], reply[needed])])
+        return _messages(back + [(b, b, _SENT, part.tobytes()) for b, part in _deal(source[needed], reply[needed])])
 
     def send(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
-        reply = _payload(replies, _REPLY)
+        reply, hot = _payload(_of_kind(replies, _SENT), _REPLY), np.unique(_payload(_of_kind(replies, _HOT), np.dtype("<u8")))
         reply = reply[np.lexsort((reply["content"], reply["anchor"]))]
-        found = [s for s in _cut(table)]
+        found = [s for s in _cut(table, hot)]
         firsts = _first_places(np.concatenate([s.rows for s in found])) if found else np.zeros(0, _ENTRY)
         known = mix(reply["anchor"]) ^ reply["content"]
         order = np.argsort(known, kind="stable")
@@ -306,7 +346,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         return pa.Table.from_batches([b.cast(schema) for b in out], schema)
 
     grouped = whole.groupBy(block)
-    replies = grouped.applyInArrow(announce, _MESSAGES).groupBy("target").applyInArrow(answer, _MESSAGES)
+    tallies = grouped.applyInArrow(count, _MESSAGES).groupBy("target").applyInArrow(judge, _MESSAGES)
+    announced = grouped.cogroup(tallies.groupBy("target")).applyInArrow(announce, _MESSAGES)
+    replies = announced.groupBy("target").applyInArrow(answer, _MESSAGES)
     sent = grouped.cogroup(replies.groupBy("target")).applyInArrow(send, _MESSAGES)
     reported = sent.groupBy("target").applyInArrow(search, _MESSAGES)
     schema = _with(docs.schema, "n_words bigint, n_removed bigint, kept_text string")
