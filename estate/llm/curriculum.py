@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from estate.llm.words import fresh, word_count
 from estate.operators.ordering import number_rows
+from estate.session import durable
 
 #: a source is repeated at most so often
 MAX_EPOCHS = 3
@@ -106,8 +107,30 @@ def mix_sizes(docs: DataFrame, **options) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` in training order, repeated or left out as planned, with ``position`` (0 to 1)."""
+def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
+    """``doc_id, size, source_size, target, taken`` per row of ``docs``, with ``taken`` counted in the written result of ``mix``.
+
+    Rows that share an id and source have the same copies, so each has its share of what the result holds of them.
+    """
+    plan = plan_mix(docs, **options)
+    mixed = durable(mix(docs.select("doc_id", "source", "text"), plan))
+    narrow = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    held = mixed.select("doc_id", "source", F.lit(1).alias("_in")).unionByName(narrow.select("doc_id", "source", F.lit(0).alias("_in")))
+    n, times = F.sum(1 - F.col("_in")), F.sum("_in")
+    copies = held.groupBy("doc_id", "source").agg((times / n).cast("bigint").alias("_copies")).select(F.col("doc_id").alias("_i"), F.col("source").alias("_o"), "_copies")
+    counted = narrow.join(copies, F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("source").eqNullSafe(F.col("_o"))).drop("_i", "_o")
+    p = F.col("_plan")
+    return _with_plan(counted, plan).select(
+        "doc_id", "size", p["source_size"].alias("source_size"), p["target"].alias("target"), (F.col("size") * F.col("_copies")).alias("taken")
+    )
+
+
+def mix(docs: DataFrame, plan: DataFrame | None = None, **options) -> DataFrame:
+    """The rows of ``docs`` in training order, repeated or left out as planned, with ``position`` (0 to 1).
+
+    A ``plan`` that ``plan_mix`` made of the same rows is used as it is.
+    """
     at = fresh(docs, "position")
-    copied = _with_plan(docs, plan_mix(docs, **options)).select(*docs.columns, F.explode("_plan.positions").alias(at))
+    plan = plan_mix(docs, **options) if plan is None else plan
+    copied = _with_plan(docs, plan).select(*docs.columns, F.explode("_plan.positions").alias(at))
     return copied.orderBy(at, "doc_id")

@@ -112,7 +112,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return curriculum.mix_sizes(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return curriculum.mixed_sizes(docs)
 
 
 OP9_SQL = r"""
