@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from estate.llm import curriculum, ppm_language, slack_packing, substring_dedup, superminhash
 from estate.llm.queries import PACKING_TOKENIZER, tokenizer_path
+from estate.operators.ordering import number_rows
 from estate.session import new_location
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -25,9 +26,15 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of the smallest id stays."""
-    kept = superminhash.near_duplicates(docs, shingle=SHINGLE).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    """Of each group of near duplicates the text of the smallest id stays, in one row.
+
+    Every distinct text of an id is a document of its own, and so is every distinct text without an id; those come last.
+    """
+    rest = [c for c in COLUMNS if c != "doc_id"]
+    one = docs.groupBy("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("_hash")).agg(F.min(F.struct(*rest)).alias("_row"))
+    rows = number_rows(one.select("doc_id", "_hash", "_row.*"), [F.col("doc_id").asc_nulls_last(), "_hash"], ordinal="_id")
+    kept = superminhash.near_duplicates(rows, shingle=SHINGLE, id_column="_id").filter("kept").select(F.col("doc_id").alias("_id"))
+    return rows.join(kept, "_id", "left_semi").select(*COLUMNS)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

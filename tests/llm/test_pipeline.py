@@ -33,3 +33,15 @@ def test_near_duplicates_by_five_words(spark):
     random.Random(1).shuffle(rows)
     out = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
     assert sorted(map(tuple, out)) == sorted(r for r in rows if r[0] != 11)
+
+
+def test_repeated_rows_and_rows_without_id(spark):
+    """One row for each text of an id; texts without an id count as documents after all others."""
+    rng = random.Random(4)
+    a, b, c, d = (" ".join(f"w{rng.randint(0, 10**9)}" for _ in range(60)) for _ in range(4))
+    row = lambda i, t, source="s": (i, t, "en", source, len(t))
+    rows = [row(1, a)] * 3 + [row(1, d, "t"), row(1, d, "s"), row(2, a + " end")] + [row(None, b)] * 2 + [row(None, b + " end"), row(None, a), row(None, c), row(7, c)]
+    found = sorted(map(tuple, corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "").collect()), key=str)
+    nameless = [r for r in found if r[0] is None]
+    assert [r for r in found if r[0] is not None] == sorted([row(1, a), row(1, d, "s"), row(7, c)], key=str)
+    assert len(nameless) == 1 and nameless[0][1] in (b, b + " end")
