@@ -64,7 +64,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("pack_sequences", pack_sequences),
 ]
 
-#: models and tokenizers decide the rows: the tests hold them against brute force instead
+#: models and tokenizers decide the rows: tests/llm/test_pipeline.py holds stages and run against brute force or the operators instead
 ORACLE_SQL = None
 
 
