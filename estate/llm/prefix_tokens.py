@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estate.llm.words import Memo, Words, fresh, mix, ragged, text_slices
+from estate.llm.words import Memo, Words, fresh, mix, ragged, text_slices, worker_model
 
 _SPACE = np.zeros(256, bool)
 _SPACE[0x20] = True
@@ -117,9 +117,8 @@ class PrefixCounter:
                 else:
                     text.append(_MARK * int(spaces[ends[i - len(words)]]))
             steps = [np.diff(self.counts(t)) for t in text]
-            self.memo.add(*_sorted(keys[new], np.array([len(s) for s in steps]), np.concatenate(steps)))
-        at = self.memo.find(keys)
-        starts, lengths = self.memo.starts[at], self.memo.lengths[at]
+            self.memo.add(keys[new], np.array([len(s) for s in steps], np.int64), np.concatenate(steps))
+        starts, lengths = self.memo.find(keys)
         steps = self.memo.values[ragged(starts, lengths)].astype(np.int8)
         unit_ends = np.cumsum(lengths)
         # the leading mark is no character of the text: its token is counted with the first character
@@ -136,19 +135,6 @@ class PrefixCounter:
         return total[bounds[1:]] - total[bounds[:-1]], chars, steps
 
 
-def _sorted(keys: np.ndarray, lengths: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return keys, lengths.astype(np.int64), values
-
-
-_counters: dict[str, PrefixCounter] = {}
-
-
-def _counter(path: str) -> PrefixCounter:
-    if path not in _counters:
-        _counters[path] = PrefixCounter(path)
-    return _counters[path]
-
-
 def count_prefixes(docs: DataFrame, model: str) -> DataFrame:
     """``docs`` with ``n_tokens`` (long) and ``token_steps`` (binary) by the sentencepiece model at path ``model``.
 
@@ -162,7 +148,7 @@ def count_prefixes(docs: DataFrame, model: str) -> DataFrame:
     at = fresh(docs, "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(model)
+        counter = worker_model(PrefixCounter, model)
         for batch in batches:
             for part in text_slices(batch, at):
                 tokens, chars, steps = counter.slice(part.column(at))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from estate.llm import (
     chat_format,
     curriculum,
+    fill_in_middle,
+    hard_negatives,
     int8_neighbours,
     ppm_language,
     prefix_tokens,
@@ -17,8 +19,10 @@ from estate.llm import (
     slack_packing,
     substring_dedup,
     superminhash,
+    token_planes,
     toxicity,
 )
+from estate.session import new_location
 
 PACKING_TOKENIZER, COUNTING_MODEL = "word_bpe_49k.json", "piece_bpe_32k.model"
 MAX_TOKENS = 4096
@@ -151,13 +155,75 @@ def op10_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > MAX_TOKENS).alias("over_limit"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_negatives(_read(spark, sf_dir, "embeddings").withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
+OP11_SQL = """
+WITH rows_ AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM rows_ a JOIN rows_ b ON a.vec_id % 100 = 0 AND (a.label <> b.label OR b.vec_id IS DISTINCT FROM a.vec_id)
+), positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other NULLS LAST) <= 5
+)
+SELECT p.anchor_id, p.positive_id, (row_number() OVER w)::INTEGER AS rank, s.other AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other NULLS LAST)
+QUALIFY row_number() OVER w <= 10
+"""
+
+
+def op12_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    location = new_location(spark, "ids")
+    token_planes.write_ids(_read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(PACKING_TOKENIZER), location)
+    back = token_planes.read_ids(spark, location)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(fill_in_middle.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+OP13_SQL = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), numbers AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+    ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM drawn
+), cuts AS (
+  SELECT *, len(units)::BIGINT AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers
+), pieces AS (
+  SELECT *, coalesce(array_to_string(units[1:a], ''), '') AS p, coalesce(array_to_string(units[a + 1:b], ''), '') AS m, coalesce(array_to_string(units[b + 1:n], ''), '') AS s FROM cuts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM pieces
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_chat_format, op2_robust_quality, op3_ppm_language, op4_substring_dedup, op5_slack_packing,
         op6_int8_neighbours, op7_superminhash, op8_toxicity, op9_curriculum, op10_prefix_tokens,
+        op11_hard_negatives, op12_token_planes, op13_fill_in_middle,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": OP1_SQL, "op9_curriculum": OP9_SQL}
+    return {"op1_chat_format": OP1_SQL, "op9_curriculum": OP9_SQL, "op11_hard_negatives": OP11_SQL, "op13_fill_in_middle": OP13_SQL}

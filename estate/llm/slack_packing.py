@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estate.llm.words import Memo, Words, fresh, ragged, text_slices
+from estate.llm.encoder import WordEncoder
+from estate.llm.words import fresh, text_slices, worker_model
 from estate.operators.ordering import number_rows
 from estate.session import durable
 
@@ -25,45 +26,6 @@ CAPACITY = 4096
 END = 1
 
 
-class _Encoder:
-    """Ids by word: no token spans white space, so each distinct word of a worker is encoded once."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.memo = Memo(np.uint32, 8 << 20)
-
-    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and the number before each text."""
-        words = Words(texts)
-        keys = words.hashes()
-        unique, where, back = np.unique(keys, return_index=True, return_inverse=True)
-        if self.memo.full():
-            self.memo.clear()
-        new = self.memo.missing(unique)
-        if new.any():
-            chosen = words.array().take(pa.array(where[new])).to_pylist()
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(chosen, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            self.memo.add(unique[new], lengths, np.fromiter((i for x in found for i in x), np.uint32, int(lengths.sum())))
-        at = self.memo.find(unique)
-        starts, lengths = self.memo.starts[at][back], self.memo.lengths[at][back]
-        ends = np.r_[0, np.cumsum(lengths)]
-        return self.memo.values[ragged(starts, lengths)], ends[words.first]
-
-
-_encoders: dict[str, _Encoder] = {}
-
-
-def _encoder(path: str) -> _Encoder:
-    if path not in _encoders:
-        _encoders[path] = _Encoder(path)
-    return _encoders[path]
-
-
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, id_column: str = "doc_id") -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: each document's ids and ``end``, cut only beyond ``capacity``.
 
@@ -72,7 +34,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end:
     text, key = fresh(docs, "_text"), fresh(docs, "_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+        encoder = worker_model(WordEncoder, tokenizer)
         for batch in batches:
             for part in text_slices(batch, text):
                 ids, bounds = encoder.ids(part.column(text))

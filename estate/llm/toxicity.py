@@ -87,7 +87,7 @@ class _Features:
                 bare, obfuscated = plain(w)
                 rows.append((max(self.lexicon.get(x, 0.0) for x in stems(bare)), _flags(w, obfuscated, bare)))
             self.memo.add(unique[new], np.full(len(rows), 2), np.array(rows, np.float32).ravel())
-        at = self.memo.starts[self.memo.find(unique)]
+        at = self.memo.find(unique)[0]
         weight = self.memo.values[at][back].astype(np.float64)
         flags = self.memo.values[at + 1][back].astype(np.int64)
         owner = np.repeat(np.arange(len(n)), n)

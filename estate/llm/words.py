@@ -7,15 +7,15 @@ its texts as Python objects.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: bytes of text that are worked on at once
-SLICE_BYTES = 4 << 20
+#: bytes of text that are worked on at once; arrays of 8 bytes a byte are made of it, several at a time
+SLICE_BYTES = 1 << 20
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -28,6 +28,7 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTES = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: dict[int, np.ndarray] = {}
+_model: dict[tuple, object] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -41,17 +42,29 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """``base**0 .. base**(n-1)`` modulo 2**64; kept, because slices are of one size."""
+    """``base**0 .. base**(n-1)`` modulo 2**64; kept for slices, which are of one size, and made anew for a longer text."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        have = np.full(max(n, 1 << 20), np.uint64(base))
+        have = np.full(max(n, SLICE_BYTES + 2), np.uint64(base))
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        if len(have) <= 16 << 20:
+        if len(have) == SLICE_BYTES + 2:
             _powers[base] = have
     return have[:n]
 
 
+def worker_model(build: Callable, *key):
+    """``build(*key)``, kept while tasks of one operator follow each other.
+
+    A worker process is used again by later stages: it holds one model, not those of all stages before.
+    """
+    name = (build, *key)
+    if name not in _model:
+        _model.clear()
+        _model[name] = build(*key)
+    return _model[name]
+
+
 def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit fingerprints of ``values[start:end]``: a polynomial modulo 2**64, then mixed with the length."""
     total = np.zeros(len(values) + 1, np.uint64)
@@ -135,6 +148,7 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class Memo:
     """Number lists by 64-bit fingerprint, in flat arrays; forgets all when they pass ``limit`` entries.
 
+    Keys are sorted runs, each at least four times as long as the next, so adding a few does not copy them all.
     It spares work only: what it forgets is computed again.
     """
 
@@ -143,31 +157,47 @@ class Memo:
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.starts, self.lengths = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.values = np.zeros(0, self.dtype)
+        self.runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.values, self.used = np.empty(1 << 16, self.dtype), 0
 
     def missing(self, keys: np.ndarray) -> np.ndarray:
         """Which of the keys it doesn't hold."""
-        if not len(self.keys):
-            return np.ones(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return self.keys[at] != keys
+        out = np.ones(len(keys), bool)
+        for known, _, _ in self.runs:
+            out &= known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] != keys
+        return out
 
     def add(self, keys: np.ndarray, lengths: np.ndarray, values: np.ndarray) -> None:
-        starts = len(self.values) + np.cumsum(lengths) - lengths
-        keys = np.concatenate([self.keys, keys])
+        """Lists of keys that it doesn't hold."""
+        if not len(keys):
+            return
+        end = self.used + len(values)
+        if end > len(self.values):
+            grown = np.empty(max(end, len(self.values) * 2), self.dtype)
+            grown[: self.used] = self.values[: self.used]
+            self.values = grown
+        self.values[self.used : end] = values
+        starts = (self.used + np.cumsum(lengths) - lengths).astype(np.int32)
+        self.used = end
         order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.starts = np.concatenate([self.starts, starts])[order]
-        self.lengths = np.concatenate([self.lengths, lengths])[order]
-        self.values = np.concatenate([self.values, values.astype(self.dtype, copy=False)])
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Their places in ``starts`` and ``lengths``; all must be there."""
-        return np.searchsorted(self.keys, keys)
+        self.runs.append((keys[order], starts[order], lengths[order].astype(np.int32)))
+        while len(self.runs) > 1 and len(self.runs[-2][0]) < 4 * len(self.runs[-1][0]):
+            last, before = self.runs.pop(), self.runs.pop()
+            keys = np.concatenate([before[0], last[0]])
+            order = np.argsort(keys, kind="stable")
+            self.runs.append((keys[order], *(np.concatenate([before[k], last[k]])[order] for k in (1, 2))))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``values`` their lists start and how long they are; it must hold all keys."""
+        starts, lengths = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        for known, first, size in self.runs:
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            here = np.flatnonzero(known[at] == keys)
+            starts[here], lengths[here] = first[at[here]], size[at[here]]
+        return starts, lengths
 
     def full(self) -> bool:
-        return len(self.values) > self.limit
+        return self.used > self.limit
 
 
 def word_count(text: Column) -> Column:
