@@ -9,7 +9,7 @@ taken as often as the counts allow.  Pieces are then numbered within their lengt
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,8 @@ from estate.operators.ordering import number_rows
 from estate.session import durable
 
 CAPACITY = 4096
+#: stretches of an order that are packed apart, and copies of a piece that are
+WINDOWS, COPIES = 8, 8
 #: id that ends each document
 END = 1
 
@@ -147,6 +149,55 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked.mapInArrow(run, f"{fields}, sequence_id bigint, offset bigint")
 
 
+def pack_in_order(pieces: DataFrame, order: Sequence[str], capacity: int = CAPACITY, windows: int = WINDOWS, copies: int = COPIES) -> DataFrame:
+    """Add ``sequence_id`` and ``offset`` so that sequences keep the given order of the pieces, and hold no piece twice.
+
+    The order is cut into ``windows`` of equal numbers of pieces, and the first, second and later copies of a piece are apart; each of
+    these groups is packed for itself, from its counts per length, in a task of its own.  Sequences are numbered by their first piece.
+    Each group may leave one sequence partly filled.  Beyond ``copies`` repeated rows of a piece, copies may meet again.
+    Pieces of equal order are interchangeable; an empty table gives an empty result.
+    """
+    placed = number_rows(durable(pieces), [*order, "piece"], ordinal="_place")
+    numbered = number_rows(placed, ["_place"], ["doc_id", "piece", "ids_crc32"], ordinal="_copy")
+    total = numbered.count()
+    window = F.floor((F.col("_place") - 1) * windows / max(total, 1))
+    grouped = durable(numbered.withColumn("_group", (window * copies + F.pmod(F.col("_copy") - 1, F.lit(copies))).cast("int")).drop("_copy"))
+
+    def fill(table: pa.Table) -> pa.Table:
+        counts = dict(zip(table.column("length").to_pylist(), table.column("n").to_pylist(), strict=True))
+        columns = _slots(slack_patterns(counts, capacity))
+        group = np.full(len(columns[0]), table.column("_group")[0].as_py(), np.int32)
+        return pa.table([pa.array(group), *map(pa.array, columns)], names=["_group", "length", "first", "sequence", "offset"])
+
+    counts = grouped.groupBy("_group", "length").agg(F.count(F.lit(1)).alias("n"))
+    slots = counts.groupBy("_group").applyInArrow(fill, "_group int, length bigint, first bigint, sequence bigint, offset bigint").toArrow()
+    # one row for each place of a pattern: their number depends on groups and lengths, not on the pieces
+    slots = slots.sort_by([("_group", "ascending"), ("length", "ascending"), ("first", "ascending")])
+    group, length, first, sequence, offset = (slots.column(c).to_numpy() for c in ("_group", "length", "first", "sequence", "offset"))
+    key = (group.astype(np.int64) * (capacity + 1) + length) << 40 | first
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, size, rank = (batch.column(c).to_numpy() for c in ("_group", "length", "_rank"))
+            at = np.searchsorted(key, (own.astype(np.int64) * (capacity + 1) + size) << 40 | (rank - 1), side="right") - 1
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(sequence[at] + rank - 1 - first[at], pa.int64()), pa.array(offset[at], pa.int64())],
+                names=[*batch.schema.names, "_sequence", "offset"],
+            )
+
+    ranked = number_rows(grouped, ["_place"], ["_group", "length"], ordinal="_rank")
+    fields = ", ".join(f"`{n}` {t}" for n, t in ranked.dtypes)
+    found = durable(ranked.mapInArrow(run, f"{fields}, _sequence bigint, offset bigint"))
+    heads = found.groupBy(F.col("_group").alias("_g"), F.col("_sequence").alias("_q")).agg(F.min("_place").alias("_head"))
+    named = number_rows(heads, ["_head"], ordinal="sequence_id")
+    out = found.join(named, (F.col("_group") == F.col("_g")) & (F.col("_sequence") == F.col("_q")))
+    return out.select(*pieces.columns, (F.col("sequence_id") - 1).alias("sequence_id"), "offset")
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
-    """``token_pieces`` of ``docs``, packed."""
+    """``token_pieces`` of ``docs``, packed.
+
+    Null and empty texts are one piece of the end id; texts are taken whole; repeated rows and null ids are documents like all others;
+    other columns are ignored; an empty table gives an empty result.
+    """
     return pack(token_pieces(docs, tokenizer, capacity, end), capacity)
