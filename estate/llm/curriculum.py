@@ -60,20 +60,29 @@ def position(share: Column, slope: Column) -> Column:
     return 2 * share / (lead + F.sqrt(lead * lead + 4 * slope * share))
 
 
-def plan_mix(
-    docs: DataFrame, weights: Sequence[int] = WEIGHTS, slopes: Sequence[float] = SLOPES, max_epochs: int = MAX_EPOCHS, seed: str = "mix"
+def sizes(docs: DataFrame) -> DataFrame:
+    """``doc_id, source, size`` of each row, written once: the texts are read for nothing else."""
+    return durable(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+
+
+def plan_mix(docs: DataFrame, **options) -> DataFrame:
+    """``plan_sizes`` of the words of ``docs``."""
+    return plan_sizes(sizes(docs), **options)
+
+
+def plan_sizes(
+    narrow: DataFrame, weights: Sequence[int] = WEIGHTS, slopes: Sequence[float] = SLOPES, max_epochs: int = MAX_EPOCHS, seed: str = "mix"
 ) -> DataFrame:
-    """``doc_id, source, source_size, target, copies, positions`` for each distinct pair of document and source.
+    """``doc_id, source, rows, source_size, target, copies, positions`` for each distinct pair of document and source.
 
     Documents of a source are taken in the order of ``md5(seed:doc_id)``: whole passes over the source, then those
     whose middle lies within the rest of the target.  Copy ``k`` sits where its middle token is due.  Running
-    totals come from range-partitioned rows, so a source with a third of all rows is many tasks.
+    totals come from range-partitioned rows, so a source with a third of all rows is many tasks.  The plan is written.
 
     Null text has size 0; a null source is a source, the last one; rows that share a document id and source,
     a null id included, are one unit and get the same copies; an empty table gives an empty plan.
     """
-    narrow = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    units = narrow.groupBy("doc_id", "source").agg(F.sum("size").cast("bigint").alias("unit"))
+    units = narrow.groupBy("doc_id", "source").agg(F.sum("size").cast("bigint").alias("unit"), F.count(F.lit(1)).alias("rows"))
     keyed = units.withColumn("_key", F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"))))
     running = number_rows(keyed, ["_key", "doc_id"], ["source"], {"until": F.col("unit")})
     targets = source_targets(narrow, weights, max_epochs)
@@ -85,21 +94,23 @@ def plan_mix(
     slope = F.element_at(F.array(*[F.lit(float(s)) for s in slopes]), (F.col("weight_rank") % len(slopes) + 1).cast("int"))
     due = lambda k: F.least((k * F.col("source_size") + middle) / F.col("target"), F.lit(1.0))
     positions = F.when(F.col("copies") > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1), lambda k: position(due(k), slope)))
-    return joined.withColumn("copies", copies.cast("bigint")).select(
-        "doc_id", "source", "source_size", "target", "copies", F.coalesce(positions, F.array().cast("array<double>")).alias("positions")
+    planned = joined.withColumn("copies", copies.cast("bigint")).select(
+        "doc_id", "source", "rows", "source_size", "target", "copies", F.coalesce(positions, F.array().cast("array<double>")).alias("positions")
     )
+    return durable(planned)
 
 
-def _with_plan(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """Each row of ``docs`` with its unit's plan in the column ``_plan``; the plan is unique per document and source."""
-    side = plan.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.struct("source_size", "target", "copies", "positions").alias("_plan"))
-    return docs.join(side, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))).drop("_d", "_s")
+def _with_plan(docs: DataFrame, plan: DataFrame, name: str = "_plan") -> DataFrame:
+    """Each row of ``docs`` with its unit's plan in the column ``name``; the plan is unique per document and source."""
+    d, o = fresh(docs, "_d"), fresh(docs, "_s")
+    side = plan.select(F.col("doc_id").alias(d), F.col("source").alias(o), F.struct("rows", "source_size", "target", "copies", "positions").alias(name))
+    return docs.join(side, F.col("doc_id").eqNullSafe(F.col(d)) & F.col("source").eqNullSafe(F.col(o))).drop(d, o)
 
 
 def mix_sizes(docs: DataFrame, **options) -> DataFrame:
     """``doc_id, size, source_size, target, taken, copies, positions`` per row of ``docs``: what ``mix`` takes of it."""
-    narrow = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    planned = _with_plan(narrow, plan_mix(docs, **options))
+    narrow = sizes(docs)
+    planned = _with_plan(narrow, plan_sizes(narrow, **options))
     p = F.col("_plan")
     return planned.select(
         "doc_id", "size", p["source_size"].alias("source_size"), p["target"].alias("target"),
@@ -107,30 +118,33 @@ def mix_sizes(docs: DataFrame, **options) -> DataFrame:
     )
 
 
-def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` per row of ``docs``, with ``taken`` counted in the written result of ``mix``.
+def mixed_sizes(docs: DataFrame, places: bool = False, **options) -> DataFrame:
+    """``doc_id, size, source_size, target, taken`` per row of ``docs``, with ``taken`` counted in the range-sorted result of ``mix``.
 
-    Rows that share an id and source have the same copies, so each has its share of what the result holds of them.
+    That result is made of ids, sources and sizes, without the texts.  Rows that share an id and source have the same copies, so each
+    has its share of what the result holds of them.  ``places`` adds ``first_position`` and ``last_position``, null for what is left out.
     """
-    plan = plan_mix(docs, **options)
-    mixed = durable(mix(docs.select("doc_id", "source", "text"), plan))
-    narrow = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    held = mixed.select("doc_id", "source", F.lit(1).alias("_in")).unionByName(narrow.select("doc_id", "source", F.lit(0).alias("_in")))
-    n, times = F.sum(1 - F.col("_in")), F.sum("_in")
-    copies = held.groupBy("doc_id", "source").agg((times / n).cast("bigint").alias("_copies")).select(F.col("doc_id").alias("_i"), F.col("source").alias("_o"), "_copies")
-    counted = narrow.join(copies, F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("source").eqNullSafe(F.col("_o"))).drop("_i", "_o")
-    p = F.col("_plan")
-    return _with_plan(counted, plan).select(
-        "doc_id", "size", p["source_size"].alias("source_size"), p["target"].alias("target"), (F.col("size") * F.col("_copies")).alias("taken")
-    )
+    narrow = sizes(docs)
+    plan = plan_sizes(narrow, **options)
+    mixed = durable(mix(narrow, plan))
+    held = mixed.groupBy("doc_id", "source").agg(F.count(F.lit(1)).alias("_held"), F.min("position").alias("_first"), F.max("position").alias("_last"))
+    held = held.select(F.col("doc_id").alias("_i"), F.col("source").alias("_o"), "_held", "_first", "_last")
+    unit = plan.join(held, F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("source").eqNullSafe(F.col("_o")), "left")
+    copies = (F.coalesce("_held", F.lit(0)) / F.col("rows")).cast("bigint")
+    unit = unit.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), "source_size", "target", copies.alias("_copies"), "_first", "_last")
+    counted = narrow.join(unit, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")))
+    more = [F.col("_first").alias("first_position"), F.col("_last").alias("last_position")] if places else []
+    return counted.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("_copies")).alias("taken"), *more)
 
 
 def mix(docs: DataFrame, plan: DataFrame | None = None, **options) -> DataFrame:
     """The rows of ``docs`` in training order, repeated or left out as planned, with ``position`` (0 to 1).
 
-    A ``plan`` that ``plan_mix`` made of the same rows is used as it is.
+    A ``plan`` that ``plan_mix`` made of the same rows is used as it is.  Null texts, empty texts and rows without an id or source are
+    taken as ``plan_sizes`` says; a repeated row has the copies of its unit each time; a column ``position`` of ``docs`` stays and
+    the new one gets an underscore; an empty table gives an empty result.
     """
-    at = fresh(docs, "position")
+    at, name = fresh(docs, "position"), fresh(docs, "_plan")
     plan = plan_mix(docs, **options) if plan is None else plan
-    copied = _with_plan(docs, plan).select(*docs.columns, F.explode("_plan.positions").alias(at))
+    copied = _with_plan(docs, plan, name).select(*docs.columns, F.explode(f"{name}.positions").alias(at))
     return copied.orderBy(at, "doc_id")

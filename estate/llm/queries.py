@@ -116,7 +116,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return curriculum.mixed_sizes(docs)
+    mixed = curriculum.mixed_sizes(docs, places=True)
+    return mixed.withColumns({c: F.round(c, 9) for c in ("first_position", "last_position")})
 
 
 OP9_SQL = r"""
@@ -130,7 +131,7 @@ WITH sized AS (
   SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0))::DOUBLE / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS level
   FROM capped WINDOW before AS (ORDER BY cap / w, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), targets AS (
-  SELECT source, source_size, least(coalesce(first_value(CASE WHEN level * w < cap THEN level END IGNORE NULLS) OVER (
+  SELECT source, source_size, (r % 3 - 1) * 0.5::DOUBLE AS slope, least(coalesce(first_value(CASE WHEN level * w < cap THEN level END IGNORE NULLS) OVER (
     ORDER BY cap / w, r ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) * w, cap), cap)::DOUBLE AS target FROM levels
 ), units AS (
   SELECT doc_id, source, sum(size)::BIGINT AS unit FROM sized GROUP BY doc_id, source
@@ -138,12 +139,16 @@ WITH sized AS (
   SELECT *, sum(unit) OVER (PARTITION BY source ORDER BY md5('mix:' || coalesce(doc_id::VARCHAR, '')), doc_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS until FROM units
 ), copies AS (
-  SELECT u.doc_id, u.source, t.source_size, t.target, (CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END)
+  SELECT u.doc_id, u.source, t.source_size, t.target, t.slope, u.until - u.unit / 2.0::DOUBLE AS middle, (CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END)
     + CASE WHEN u.unit > 0 AND u.until - u.unit / 2.0 < t.target - floor(t.target / nullif(t.source_size, 0)) * t.source_size THEN 1 ELSE 0 END AS copies
   FROM running u JOIN targets t ON u.source IS NOT DISTINCT FROM t.source
+), due AS (
+  SELECT *, least(middle / target, 1.0) AS first_due, least(((copies - 1) * source_size + middle) / target, 1.0) AS last_due FROM copies
 )
-SELECT s.doc_id, s.size, c.source_size, c.target, (s.size * c.copies)::BIGINT AS taken
-FROM sized s JOIN copies c ON s.doc_id IS NOT DISTINCT FROM c.doc_id AND s.source IS NOT DISTINCT FROM c.source
+SELECT s.doc_id, s.size, c.source_size, c.target, (s.size * c.copies)::BIGINT AS taken,
+  round(CASE WHEN copies > 0 THEN 2 * first_due / (1 - slope + sqrt((1 - slope) * (1 - slope) + 4 * slope * first_due)) END, 9) AS first_position,
+  round(CASE WHEN copies > 0 THEN 2 * last_due / (1 - slope + sqrt((1 - slope) * (1 - slope) + 4 * slope * last_due)) END, 9) AS last_position
+FROM sized s JOIN due c ON s.doc_id IS NOT DISTINCT FROM c.doc_id AND s.source IS NOT DISTINCT FROM c.source
 """
 
 
