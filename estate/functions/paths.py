@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estate.functions.rules import NO_EXTENSION, ROOT_DIRECTORY
@@ -13,11 +13,25 @@ def _col(c: Column | str) -> Column:
 
 
 def normalize_path(path: Column | str, url: bool = False) -> Column:
-    """Forward slashes, no doubled or leading slash; a URL loses its trailing slash too."""
-    flat = F.regexp_replace(F.replace(_col(path), F.lit("\\"), F.lit("/")), "/+", "/")
+    """Forward slashes, no doubled or leading slash; a URL loses its trailing slash too.
+
+    Nearly all paths have none of these, and a search for a fixed text tells them from the rest.
+    """
+    p = _col(path)
+    odd = F.contains(p, F.lit("\\")) | F.contains(p, F.lit("//"))
+    flat = F.when(odd, F.regexp_replace(F.replace(p, F.lit("\\"), F.lit("/")), "/+", "/")).otherwise(p)
     return F.regexp_replace(flat, "^/|/$" if url else "^/", "")
 
 
+#: a column that holds normalised paths, where a table keeps them
+PATH_KEY = "path_key"
+
+
+def path_key(df: DataFrame, path: str = "path") -> Column:
+    """What names a file however its path is written: the stored key of the table if it has one, so that its layout serves joins."""
+    return F.col(PATH_KEY) if PATH_KEY in df.columns else normalize_path(path)
+
+
 def same_path(path: Column | str, normalized: Column | str) -> Column:
     """Join condition: a path, however it is written, names the normalised one, whose partitioning the join can re-use."""
     return normalize_path(path) == _col(normalized)

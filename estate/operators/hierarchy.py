@@ -12,34 +12,52 @@ from estate.session import durable
 def folder_paths(
     items: DataFrame, root: object, skip: list[str] | None = None
 ) -> DataFrame:
-    """``(id, path, depth)`` of every folder below ``root``, one join per level.
+    """``(id, path, depth)`` of every folder below ``root``, by pointer doubling.
 
-    Each level is written to a table: lineage stays one join long and a lost executor repeats
-    no earlier level.  Folders named in ``skip`` are left out with all they hold; a folder without a name is kept.
-    Trees may be of any depth; a folder that comes up again on a later level is a cycle and an error.
+    Each folder knows the path from an ancestor, at first its parent, down to itself.  A round joins the folders that have not reached
+    the root with the folders of their ancestor, so the known stretch doubles: a tree of 1,000 levels takes ten rounds.
+    A round is one join and one written table, with no more rows than there are folders; what has reached the root is not written again
+    but is looked up by the later rounds, as are the stretches of the round itself.
+
+    Folders named in ``skip`` are left out with all they hold, and so are folders that hang from no known folder; a folder without a name
+    is kept.  Trees may be of any depth.  A folder below itself is an error, and so is one with two parents; a
+    folder that is listed twice counts twice.
     """
     folders = items.filter("is_folder").select("id", "parent_id", "name")
     if skip:
         folders = folders.filter(~F.coalesce(F.col("name").isin(skip), F.lit(False)))
-    level = durable(
-        folders.filter(F.col("parent_id") == F.lit(root)).select(
-            "id", F.col("name").alias("path"), F.lit(1).alias("depth")
-        )
+    # a folder without a name adds nothing to a path
+    start = folders.select(
+        "id", F.col("parent_id").alias("up"), F.col("name").alias("path"), F.lit(1).alias("depth"), F.coalesce(F.col("parent_id") == F.lit(root), F.lit(False)).alias("there")
     )
-    levels, seen = [level], level.select("id")
-    while not level.isEmpty():
-        above = level.select(F.col("id").alias("parent_id"), F.col("path").alias("above"), "depth")
-        level = durable(
-            folders.join(above, "parent_id").select(
-                "id", F.concat_ws("/", "above", "name").alias("path"), (F.col("depth") + 1).alias("depth")
+    known = durable(start)
+    if not known.groupBy("id").agg(F.min("up").alias("low"), F.max("up").alias("high")).filter("low < high").isEmpty():
+        raise ValueError("a folder has two parents: it lies below itself or in two places, a cycle or no tree")
+    reached = [known.filter("there").drop("there", "up")]
+    waiting = known.filter("not there")
+    left = waiting.count()
+    while left:
+        # the stretches of this round: those that have reached the root, of all rounds, and those that wait
+        ends = reached[0]
+        for more in reached[1:]:
+            ends = ends.unionByName(more)
+        stretches = ends.withColumn("up", F.lit(None).cast(known.schema["up"].dataType)).withColumn("there", F.lit(True)).unionByName(waiting)
+        above = stretches.select(F.col("id").alias("_id"), F.col("up").alias("_up"), F.col("path").alias("_path"), F.col("depth").alias("_depth"), F.col("there").alias("_there"))
+        joined = durable(
+            waiting.join(above, F.col("up") == F.col("_id")).select(
+                "id", F.col("_up").alias("up"), F.concat_ws("/", "_path", "path").alias("path"), (F.col("_depth") + F.col("depth")).alias("depth"),
+                F.col("_there").alias("there"),
             )
         )
-        if not level.join(seen, "id", "left_semi").isEmpty():
+        reached.append(joined.filter("there").drop("there", "up"))
+        waiting = joined.filter("not there")
+        # the nearest of the waiting folders ends in each round, at the root or where its ancestor isn't known
+        still = waiting.count()
+        if still == left:
             raise ValueError("a folder lies below itself: the tree has a cycle")
-        levels.append(level)
-        seen = durable(seen.union(level.select("id")))
-    out = levels[0]
-    for more in levels[1:-1]:
+        left = still
+    out = reached[0]
+    for more in reached[1:]:
         out = out.unionByName(more)
     return out
 

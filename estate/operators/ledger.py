@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from estate.functions import measures, rules
 from estate.functions.classify import classify_error, error_prefix
 from estate.functions.measures import gb, mb, ratio
-from estate.functions.paths import normalize_path, same_path
+from estate.functions.paths import normalize_path, path_key, same_path
 
 SUCCESS = "success"
 
@@ -44,14 +44,15 @@ def outcome_class() -> Column:
 
 
 def dedupe_latest(ledger: DataFrame, keys: tuple[str, ...] = ("path",)) -> DataFrame:
-    """The latest row per path.
+    """The latest row per path, which stands normalised: ``x\\a`` and ``x/a`` are one file.
 
     Every column takes part in the tie-break, so the result does not depend on the row
     order; the maximum is combined before the shuffle, so a hot path stays small.
     """
     order = [c for c in ("event_ts", "attempt", "batch", "size_bytes", "status") if c in ledger.columns]
     rest = [c for c in ledger.columns if c not in order and c not in keys]
-    latest = ledger.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_last"))
+    named = [path_key(ledger).alias(k) if k == "path" else F.col(k) for k in keys]
+    latest = ledger.groupBy(*named).agg(F.max(F.struct(*order, *rest)).alias("_last"))
     return latest.select(*[c if c in keys else F.col(f"_last.{c}").alias(c) for c in ledger.columns])
 
 
@@ -97,7 +98,7 @@ def ledger_quality(ledger: DataFrame) -> DataFrame:
     size = F.coalesce(F.col("size_bytes"), F.lit(0))
     per_path = (
         succeeded(ledger)
-        .groupBy("path")
+        .groupBy(path_key(ledger).alias("path"))
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(size > 0).alias("sized"),
@@ -134,11 +135,11 @@ def batch_summary(ledger: DataFrame) -> DataFrame:
 def run_summary(ledger: DataFrame, total_files: int | Column) -> DataFrame:
     """Totals per run; complete when the distinct paths done reach the total.
 
-    Distinct paths are counted from rows combined per (run, path).
+    Distinct paths, whichever way they are written, are counted from rows combined per (run, path).
     """
     total = total_files if isinstance(total_files, Column) else F.lit(total_files)
     good = _is_success()
-    per_path = ledger.groupBy("run_id", "path").agg(
+    per_path = ledger.groupBy("run_id", path_key(ledger).alias("path")).agg(
         *_counts(),
         F.max(good).alias("done"),
         F.min("event_ts").alias("first_ts"),

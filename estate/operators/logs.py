@@ -63,12 +63,12 @@ def log_performance(fields: DataFrame) -> DataFrame:
     progress = F.col("event_type") == "turbo_progress"
     speed = F.when(F.col("event_type") == "speed", F.col("files_per_sec"))
     latest = F.struct(at.alias("at"), "percentage", "current", "total")
-    # speeds carry one decimal: summed as integers, the total does not depend on the row order
-    milli = F.round(speed * 1000).cast("bigint")
+    # summed as decimals, whose total does not depend on the row order
+    exact = speed.cast("decimal(28,9)")
     return fields.agg(
         F.count_if(F.col("event_type") == "speed").alias("speed_samples"),
         F.count_if(progress).alias("progress_samples"),
-        F.round(F.sum(milli) / F.count(milli) / 1000, 6).alias("avg_speed"),
+        F.round(F.sum(exact).cast("double") / F.count(exact), 6).alias("avg_speed"),
         F.max(speed).alias("max_speed"),
         F.min(speed).alias("min_speed"),
         F.max(F.when(progress, latest)).alias("_latest"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from estate.functions import rules
 from estate.functions.measures import gb, ratio
-from estate.functions.paths import normalize_path, same_path
+from estate.functions.paths import normalize_path, path_key, same_path
 from estate.operators.ledger import SUCCESS, dedupe_latest, succeeded
 
 PATH, SIZE, MODIFIED = "relative_path", "size_bytes", "modified_ts"
@@ -18,7 +18,7 @@ PATH, SIZE, MODIFIED = "relative_path", "size_bytes", "modified_ts"
 
 def completed_paths(ledger: DataFrame) -> DataFrame:
     """Distinct normalised paths with a success.  The same partitioning serves the join that follows."""
-    return succeeded(ledger).select(normalize_path("path").alias("_done")).distinct()
+    return succeeded(ledger).select(path_key(ledger).alias("_done")).distinct()
 
 
 def unique_files(files: DataFrame) -> DataFrame:
@@ -29,13 +29,16 @@ def unique_files(files: DataFrame) -> DataFrame:
 
 
 def remaining_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Resume rule: inventory rows without a success, whatever the order of earlier runs."""
-    return files.join(completed_paths(ledger), same_path(PATH, "_done"), "left_anti")
+    """Resume rule: inventory rows without a success, whatever the order of earlier runs.
+
+    A side that is stored by path (``sources.path_ledger``) is not shuffled.
+    """
+    return files.join(completed_paths(ledger), path_key(files, PATH) == F.col("_done"), "left_anti")
 
 
 def already_done(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Inventory rows with a success, as skipped outcomes."""
-    done = files.join(completed_paths(ledger), same_path(PATH, "_done"), "left_semi")
+    done = files.join(completed_paths(ledger), path_key(files, PATH) == F.col("_done"), "left_semi")
     return done.select(
         F.col(PATH).alias("path"), F.lit(SUCCESS).alias("status"), F.lit(True).alias("skipped"), F.col(SIZE)
     )

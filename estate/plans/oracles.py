@@ -843,4 +843,32 @@ def oracle_sql() -> dict[str, str]:
         GROUP BY run_id, session
         HAVING max(event_ts) + INTERVAL 10 MINUTE <= (SELECT date_trunc('milliseconds', max(event_ts)) FROM outcomes) - INTERVAL 10 MINUTE""",
     )
+    for key, same in {
+        "dedupe_latest_spellings": "dedupe_latest", "run_summary_spellings": "run_summary", "ledger_quality_spellings": "ledger_quality",
+        "path_ledger_latest": "dedupe_latest", "path_ledger_remaining": "remaining_files",
+    }.items():
+        sql[key] = sql[same]  # however a path is written, it names the same file
+    # a row is late if its windows ended before what the arrivals up to the last but one had reached, less the allowed delay
+    arriving = """arrivals AS (
+      SELECT *, least(7, (epoch_us(event_ts) - min(epoch_us(event_ts)) OVER ()) * 8 // (max(epoch_us(event_ts)) OVER () - min(epoch_us(event_ts)) OVER () + 1)
+        + CASE user_id % 11 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END) AS arrival FROM outcomes
+    ), reached AS (SELECT arrival, max(event_ts) AS top FROM arrivals GROUP BY 1
+    ), marks AS (SELECT a.arrival, date_trunc('milliseconds', max(b.top)) - INTERVAL 10 MINUTE AS mark
+      FROM reached a LEFT JOIN reached b ON b.arrival <= a.arrival - 2 GROUP BY 1)"""
+    put(
+        "stream_throughput_late",
+        "outcomes",
+        f"""SELECT * FROM (WITH {arriving} SELECT date_trunc('hour', event_ts) AS window_start, date_trunc('hour', event_ts) + INTERVAL 1 HOUR AS window_end,
+          status, count(*) AS files, sum(size_bytes)::BIGINT AS bytes FROM arrivals JOIN marks USING (arrival)
+          WHERE mark IS NULL OR date_trunc('hour', event_ts) + INTERVAL 1 HOUR > mark GROUP BY ALL)""",
+    )
+    put(
+        "stream_sliding_error_rate_late",
+        "outcomes",
+        f"""SELECT *, round(100.0::DOUBLE * failed / files, 6) AS error_rate FROM (WITH {arriving}
+          SELECT s AS window_start, s + INTERVAL 1 HOUR AS window_end, count(*) AS files, count(*) FILTER (status IS DISTINCT FROM 'success') AS failed
+          FROM (SELECT status, mark, time_bucket(INTERVAL 15 MINUTE, event_ts) - to_minutes(15 * k) AS s
+            FROM arrivals JOIN marks USING (arrival), range(4) r(k)) WHERE mark IS NULL OR s + INTERVAL 1 HOUR > mark GROUP BY 1)
+        WHERE 100.0::DOUBLE * failed / files > 10""",
+    )
     return sql

@@ -12,6 +12,7 @@ from estate.operators import hierarchy, inventory, ledger, logs, planning, progr
 from estate.operators import reconcile as matching
 from estate.plans import stored, tables as t
 from estate.session import new_location
+from estate.sources.path_ledger import PathLedger
 from estate.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -482,6 +483,42 @@ def dedupe_latest(spark, d):
     return ledger.dedupe_latest(t.ledger(spark, d))
 
 
+@query
+def dedupe_latest_spellings(spark, d):
+    return ledger.dedupe_latest(t.ledger_spelled(spark, d))
+
+
+@query
+def run_summary_spellings(spark, d):
+    return ledger.run_summary(t.ledger_spelled(spark, d), _total(spark, d))
+
+
+@query
+def ledger_quality_spellings(spark, d):
+    return ledger.ledger_quality(t.ledger_spelled(spark, d))
+
+
+def _stored_ledger(spark, d):
+    """The ledger in three appends, one of them repeated, with a compaction between them."""
+    rows = t.ledger_spelled(spark, d)
+    made = PathLedger.create(spark, new_location(spark, "ledger"), rows.schema, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for k in (0, 1, 1, 2):
+        made.append(rows.filter(F.col("batch") % 3 == k), f"part-{k}")
+        if k == 1:
+            made.compact()
+    return made.rows()
+
+
+@query
+def path_ledger_latest(spark, d):
+    return ledger.dedupe_latest(_stored_ledger(spark, d)).select(*t.ledger(spark, d).columns)
+
+
+@query
+def path_ledger_remaining(spark, d):
+    return matching.remaining_files(t.files(spark, d), _stored_ledger(spark, d)).select("relative_path", "size_bytes")
+
+
 @query
 def top_dirs_per_depth(spark, d):
     return inventory.top_dirs_per_depth(t.directories(spark, d))
@@ -661,6 +698,25 @@ def stream_sliding_error_rate(spark, d):
     return jobs.alerting(rates)
 
 
+def _arriving(spark, d):
+    """The outcomes as they arrive, a micro-batch each time, some of them late."""
+    location = new_location(spark, "arriving")
+    t.arriving_outcomes(spark, d, location)
+    return jobs.stream_table(spark, location, files_per_batch=1)
+
+
+@query
+def stream_throughput_late(spark, d):
+    stream = jobs.throughput(_arriving(spark, d), width="1 hour")
+    return jobs.run_updates(stream, ["window_start", "window_end", "status"], *_places(spark, "stream-throughput"), compact_every=3)
+
+
+@query
+def stream_sliding_error_rate_late(spark, d):
+    stream = jobs.sliding_error_rate(_arriving(spark, d))
+    return jobs.alerting(jobs.run_updates(stream, ["window_start", "window_end"], *_places(spark, "stream-errors"), compact_every=3))
+
+
 @query
 def stream_dedupe_ledger(spark, d):
     unique = jobs.dedupe_ledger(_outcome_stream(spark, d)).select("path", "status")

@@ -111,6 +111,11 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ledger_spelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger with its paths written in several ways, those of one file too."""
+    return otherwise_written(ledger(spark, sf_dir), "path", F.col("attempt") + F.col("entry_index"))
+
+
 def manifest(spark: SparkSession, sf_dir: str, version: int = 2) -> DataFrame:
     """Source listing; version 1 holds a tenth of the files in another folder, names paths in several ways and some twice."""
     listed = files(spark, sf_dir)
@@ -211,6 +216,22 @@ def outcome_columns() -> list[Column]:
     ]
 
 
+#: arrivals that the outcomes are dealt to; some come one or two arrivals late
+ARRIVALS = 8
+
+
+def arriving_outcomes(spark: SparkSession, sf_dir: str, location: str) -> None:
+    """The outcomes as files in the order of their arrival, one file for each of ``ARRIVALS`` equal stretches of time."""
+    events = load(spark, sf_dir, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(micros), F.max(micros)).first()
+    on_time = F.call_function("div", (micros - F.lit(first)) * ARRIVALS, F.lit((last or 0) - (first or 0) + 1))
+    late = F.when(F.col("user_id") % 11 == 0, 2).when(F.col("user_id") % 11 == 1, 1).otherwise(0)
+    rows = events.select(F.least(F.lit(ARRIVALS - 1), on_time + late).alias("arrival"), *outcome_columns())
+    for k in range(ARRIVALS):
+        rows.filter(F.col("arrival") == k).drop("arrival").repartition(1).write.mode("append").parquet(location)
+
+
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cumulative outcomes per run and hour."""
     events = load(spark, sf_dir, "events")

@@ -57,3 +57,32 @@ def durable(df: DataFrame) -> DataFrame:
     location = new_location(df.sparkSession, "cut")
     df.write.parquet(location)
     return df.sparkSession.read.schema(df.schema).parquet(location)
+
+
+# --- names in the shared folder, by Spark's own file systems --------------------
+def _at(spark: SparkSession, path: str):
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), there
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds, sorted; none if it isn't there."""
+    system, there = _at(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(there)) if system.exists(there) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, there = _at(spark, path)
+    system.mkdirs(there)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Make an empty file: one step, which either has happened or not."""
+    system, there = _at(spark, path)
+    system.create(there, True).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file, if it is there."""
+    system, there = _at(spark, path)
+    system.delete(there, True)

@@ -16,19 +16,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from estate.functions.measures import instant, ratio, wall
+from estate.functions.paths import normalize_path
 from estate.operators.ledger import SUCCESS, is_skipped
 from estate.operators.logs import parse_log
+from estate.session import children, mark, remove
 from estate.sources.sinks import append_ledger
 
 
-def stream_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table as a stream of its files.
+def stream_table(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """A Parquet table as a stream of its files, oldest first; ``files_per_batch`` bounds a micro-batch.
 
     The path is written as a pattern matching only itself, which the file source accepts
     for a folder and for a single file.
     """
     itself = f"{path[:-1]}[{path[-1]}]"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(itself)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(itself)
 
 
 def _timed(outcomes: DataFrame, late: str) -> DataFrame:
@@ -68,8 +71,9 @@ def alerting(rates: DataFrame, above: float = 10.0) -> DataFrame:
 
 
 def dedupe_ledger(outcomes: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """First outcome per path and status within the watermark."""
-    return _timed(outcomes, late).dropDuplicatesWithinWatermark(["path", "status"])
+    """First outcome per path, which stands normalised, and status within the watermark."""
+    named = outcomes.withColumn("path", normalize_path("path"))
+    return _timed(named, late).dropDuplicatesWithinWatermark(["path", "status"])
 
 
 def idle_sessions(outcomes: DataFrame, gap: str = "30 seconds", late: str = "10 minutes", key: str = "run_id") -> DataFrame:
@@ -106,23 +110,69 @@ def run_append(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(out)
 
 
-def run_updates(stream: DataFrame, keys: list[str], out: str, checkpoint: str) -> DataFrame:
-    """Keep the newest version of each window in a table partitioned by micro-batch.
+def run_updates(stream: DataFrame, keys: list[str], out: str, checkpoint: str, compact_every: int = 16) -> DataFrame:
+    """Keep the newest version of each window in a table of micro-batches.
 
-    A repeated micro-batch overwrites its own partition.
+    A repeated micro-batch overwrites its own folder.  Every ``compact_every`` micro-batches the newest versions are gathered in a base, so
+    a read takes each window once and the few micro-batches since, however many there were.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            compact_updates(batch.sparkSession, out, keys, stream.schema, batch_id)
 
     _drain(stream, write, "update", checkpoint)
-    spark = stream.sparkSession
-    values = [c for c in stream.columns if c not in keys]
-    written = _read_or_empty(spark, out, stream.schema, StructField("batch_id", LongType()))
-    newest = written.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("_v"))
+    return read_updates(stream.sparkSession, out, keys, stream.schema)
+
+
+def _bases(spark: SparkSession, out: str) -> list[int]:
+    """The last micro-batch of each complete base, ascending."""
+    names = [n for n in children(spark, f"{out}/base") if n.endswith(".done")]
+    return sorted(int(n.removeprefix("upto=").removesuffix(".done")) for n in names)
+
+
+def _batches(spark: SparkSession, out: str) -> list[int]:
+    return sorted(int(n.removeprefix("batch_id=")) for n in children(spark, out) if n.startswith("batch_id="))
+
+
+def read_updates(spark: SparkSession, out: str, keys: list[str], schema: StructType, upto: int | None = None) -> DataFrame:
+    """The newest version of each window: from the newest base and the micro-batches after it, up to ``upto`` if given."""
+    bases = _bases(spark, out)
+    base = bases[-1] if bases else -1
+    since = [k for k in _batches(spark, out) if k > base and (upto is None or k <= upto)]
+    reader = spark.read.schema(schema)
+    rows = spark.createDataFrame([], schema) if base < 0 else reader.parquet(f"{out}/base/upto={base}")
+    rows = rows.withColumn("batch_id", F.lit(base).cast("bigint"))
+    if since:
+        dated = spark.read.schema(StructType([*schema.fields, StructField("batch_id", LongType())])).option("basePath", out)
+        rows = rows.unionByName(dated.parquet(*[f"{out}/batch_id={k}" for k in since]))
+    values = [c for c in schema.names if c not in keys]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("_v"))
     return newest.select(*keys, "_v.*")
 
 
+def compact_updates(spark: SparkSession, out: str, keys: list[str], schema: StructType, upto: int) -> None:
+    """Gather all micro-batches up to ``upto`` in a new base.
+
+    The base counts once its mark is there, which is one step: a crash before it leaves the base before and all micro-batches, a crash after
+    it leaves files that no read looks at.  What the base *before* has replaced is removed, so readers of that base
+    are not disturbed.  A repeated compaction does nothing.
+    """
+    bases = _bases(spark, out)
+    if bases and bases[-1] >= upto:
+        return
+    read_updates(spark, out, keys, schema, upto).write.mode("overwrite").parquet(f"{out}/base/upto={upto}")
+    mark(spark, f"{out}/base/upto={upto}.done")
+    if bases:
+        for k in _batches(spark, out):
+            if k <= bases[-1]:
+                remove(spark, f"{out}/batch_id={k}")
+        for k in bases[:-1]:
+            remove(spark, f"{out}/base/upto={k}.done")
+            remove(spark, f"{out}/base/upto={k}")
+
+
 def run_ledger_upsert(outcomes: DataFrame, run_id: str, out: str, checkpoint: str) -> DataFrame:
     """Append each micro-batch to the ledger as partition ``(run_id, batch)`` of this stream.
 

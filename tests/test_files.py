@@ -139,6 +139,26 @@ def test_cycle_is_reported(spark, rows):
         hierarchy.folder_paths(loop, 0)
 
 
+def test_deep_trees_take_few_rounds(spark, rows, monkeypatch):
+    """600 levels in ten rounds, a cycle apart from the root is found, and so is a chain that leads into one."""
+    written = []
+    durable = hierarchy.durable
+    monkeypatch.setattr(hierarchy, "durable", lambda df: written.append(1) or durable(df))
+    chain = [(k, k - 1, f"d{k}", True) for k in range(1, 601)] + [(1000, 999, "lost", True), (1001, 1000, "below", True), (2000, 5, "side", True)]
+    found = {r.id: (r.path, r.depth) for r in hierarchy.folder_paths(rows(chain, ITEM), 0).collect()}
+    assert len(written) <= 12 and set(found) == {*range(1, 601), 2000}
+    assert all(found[k] == ("/".join(f"d{j}" for j in range(1, k + 1)), k) for k in range(1, 601))
+    assert found[2000] == ("d1/d2/d3/d4/d5/side", 6)
+    apart = [(1, 0, "a", True), (2, 4, "b", True), (3, 2, "c", True), (4, 3, "d", True), (5, 4, "e", True), (6, 5, "f", True)]
+    with pytest.raises(ValueError, match="cycle"):
+        hierarchy.folder_paths(rows(apart, ITEM), 0)
+    with pytest.raises(ValueError, match="cycle"):
+        hierarchy.folder_paths(rows([(1, 1, "a", True)], ITEM), 0)
+    twice = [(1, 0, "a", True), (1, 0, "a", True), (2, 1, "b", True)]
+    assert sorted(r.path for r in hierarchy.folder_paths(rows(twice, ITEM), 0).collect()) == ["a", "a", "a/b", "a/b"]
+    assert hierarchy.folder_paths(rows([], ITEM), 0).count() == 0
+
+
 def test_nameless_folder_is_kept(spark, rows):
     items = rows([(1, 0, None, True), (2, 1, "b", True), (3, 2, "f.pdf", False)], ITEM)
     assert [r.path for r in hierarchy.flatten_hierarchy(items, 0).collect()] == ["b/f.pdf"]

@@ -41,6 +41,52 @@ def test_throughput_updates(spark, sliced, tmp_path):
     assert len(list((tmp_path / "out").glob("batch_id=*"))) >= 4
 
 
+KEYS = ["window_start", "window_end", "status"]
+
+
+def folders(tmp_path):
+    return sorted(p.name for p in (tmp_path / "out").glob("batch_id=*")), sorted(p.name for p in (tmp_path / "out" / "base").glob("*.done"))
+
+
+def test_compaction_gathers_micro_batches(spark, sliced, tmp_path):
+    got = jobs.run_updates(jobs.throughput(stream(spark, sliced), "1 hour"), KEYS, *places(tmp_path), compact_every=1)
+    assert same(jobs.throughput(spark.read.parquet(sliced), "1 hour"), got)
+    batches, bases = folders(tmp_path)
+    # what the base before has replaced is gone, and its own files stay for its readers
+    assert len(bases) == 2 and len(batches) == 1
+
+
+@pytest.mark.parametrize("step", ["mark", "remove"])
+def test_compaction_survives_a_crash_at_any_step(spark, sliced, tmp_path, monkeypatch, step):
+    """Stopped before the mark or while it cleans up, the stream goes on where it was and loses nothing."""
+    calls, real = [], getattr(jobs, step)
+
+    def broken(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        real(*args)
+
+    monkeypatch.setattr(jobs, step, broken)
+    build = lambda: jobs.throughput(stream(spark, sliced), "1 hour")
+    with pytest.raises(Exception, match="lost"):
+        jobs.run_updates(build(), KEYS, *places(tmp_path), compact_every=1)
+    midway = jobs.read_updates(spark, places(tmp_path)[0], KEYS, build().schema)
+    assert midway.groupBy(*KEYS).count().filter("count > 1").isEmpty()
+    got = jobs.run_updates(build(), KEYS, *places(tmp_path), compact_every=1)
+    assert same(jobs.throughput(spark.read.parquet(sliced), "1 hour"), got)
+
+
+def test_late_rows_are_dropped_by_the_watermark(spark, sf_dir, tmp_path):
+    where = str(tmp_path / "arriving")
+    t.arriving_outcomes(spark, sf_dir, where)
+    late = jobs.throughput(jobs.stream_table(spark, where, files_per_batch=1), "1 hour")
+    got = jobs.run_updates(late, KEYS, *places(tmp_path), compact_every=3)
+    every = spark.read.parquet(where).count()
+    counted = got.agg(F.sum("files")).first()[0]
+    assert every == t.load(spark, sf_dir, "events").count() and 0.8 * every < counted < every
+
+
 def test_sliding_error_rate(spark, sliced, tmp_path):
     got = jobs.run_updates(jobs.sliding_error_rate(stream(spark, sliced)), ["window_start", "window_end"], *places(tmp_path))
     want = jobs.sliding_error_rate(spark.read.parquet(sliced))
