@@ -7,12 +7,15 @@ driver.
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from estate.functions.measures import instant, ratio, wall
@@ -79,16 +82,71 @@ def dedupe_ledger(outcomes: DataFrame, late: str = "10 minutes") -> DataFrame:
 def idle_sessions(outcomes: DataFrame, gap: str = "30 seconds", late: str = "10 minutes", key: str = "run_id") -> DataFrame:
     """Activity sessions per run; a gap without outcomes ends one.
 
-    Sessions are merged within each input partition first, so a busy run reaches its
-    state with few rows.
+    As a stream: every task first merges its own outcomes, whatever their run, to the stretches they make, so that of a run
+    with most of the outcomes only a few rows per task are shuffled; a stateful step then merges stretches to sessions and
+    holds no more than the open ones of each run.  A session is returned once the watermark has passed its end.  Outcomes without a time
+    are left out; a null run is a run; outcomes older than the watermark are late and dropped.
     """
-    outcomes.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
-    return (
-        _timed(outcomes, late)
-        .groupBy(F.session_window("event_ts", gap).alias("window"), key)
-        .agg(F.count(F.lit(1)).alias("files"), F.count_if((F.col("status") == SUCCESS) & ~is_skipped()).alias("downloaded"))
-        .select(key, *_bounds(), "files", "downloaded")
+    good = (F.col("status") == SUCCESS) & ~is_skipped()
+    if not outcomes.isStreaming:
+        sessions = _timed(outcomes, late).groupBy(F.session_window("event_ts", gap).alias("window"), key)
+        return sessions.agg(F.count(F.lit(1)).alias("files"), F.count_if(good).alias("downloaded")).select(key, *_bounds(), "files", "downloaded")
+    spark = outcomes.sparkSession
+    length = spark.range(1).select(F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL '{gap}'"))).first()[0]
+    at = F.unix_micros(instant(F.col("event_ts")))
+    rows = outcomes.filter(F.col("event_ts").isNotNull()).select(
+        F.col(key).alias("run"), at.alias("start"), at.alias("last"), F.lit(1).cast("bigint").alias("files"), F.coalesce(good, F.lit(False)).cast("bigint").alias("downloaded")
+    )
+    kind = rows.schema["run"].dataType.simpleString()
+
+    def stretches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield _merged(part, length)
+
+    def sessions(run: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        names = ["start", "last", "files", "downloaded"]
+        held = [pd.DataFrame(dict(zip(names, state.get, strict=True)))] if state.exists else []
+        if not state.hasTimedOut:
+            held += [p[names] for p in parts]
+        merged = _merged(pd.concat(held).assign(run=0), length)[names]
+        mark = state.getCurrentWatermarkMs()
+        closed = merged["last"] + length <= mark * 1000
+        left = merged[~closed]
+        if len(left):
+            state.update(tuple(left[n].astype("int64").tolist() for n in names))
+            # the first millisecond by which the session that ends first has ended: the step is called beyond it
+            state.setTimeoutTimestamp(max(-(-int(left["last"].min() + length) // 1000) - 1, mark + 1))
+        elif state.exists:
+            state.remove()
+        out = merged[closed]
+        yield pd.DataFrame({"run": [run[0]] * len(out), **{n: out[n].to_numpy() for n in names}})
+
+    dated = rows.mapInPandas(stretches, rows.schema).withColumn("seen", F.timestamp_micros("last")).withWatermark("seen", late)
+    lists = "start array<bigint>, last array<bigint>, files array<bigint>, downloaded array<bigint>"
+    found = dated.groupBy("run").applyInPandasWithState(
+        sessions, f"run {kind}, start bigint, last bigint, files bigint, downloaded bigint", lists, "append", GroupStateTimeout.EventTimeTimeout
     )
+    edge = lambda micros: wall(F.timestamp_micros(micros))
+    return found.select(
+        F.col("run").alias(key), edge(F.col("start")).alias("window_start"), edge(F.col("last") + length).alias("window_end"), "files", "downloaded"
+    )
+
+
+def _merged(rows: pd.DataFrame, gap: int) -> pd.DataFrame:
+    """Stretches of a run that are no further apart than ``gap`` microseconds, as one row each."""
+    if not len(rows):
+        return rows
+    run = pd.factorize(rows["run"], use_na_sentinel=False)[0]
+    order = np.lexsort((rows["start"].to_numpy(), run))
+    rows, run = rows.iloc[order], run[order]
+    last = rows["last"].groupby(run).cummax().to_numpy()
+    new = np.r_[True, (run[1:] != run[:-1]) | (rows["start"].to_numpy()[1:] > last[:-1] + gap)]
+    firsts = np.flatnonzero(new)
+    add = lambda c: np.add.reduceat(rows[c].to_numpy(), firsts)
+    return pd.DataFrame(
+        {"run": rows["run"].to_numpy()[firsts], "start": rows["start"].to_numpy()[firsts], "last": last[np.r_[firsts[1:], len(rows)] - 1],
+         "files": add("files"), "downloaded": add("downloaded")}
+    )
 
 
 def _bounds() -> list[Column]:
@@ -176,11 +234,12 @@ def compact_updates(spark: SparkSession, out: str, keys: list[str], schema: Stru
 def run_ledger_upsert(outcomes: DataFrame, run_id: str, out: str, checkpoint: str) -> DataFrame:
     """Append each micro-batch to the ledger as partition ``(run_id, batch)`` of this stream.
 
-    Micro-batches count from 0 in each checkpoint, so the checkpoint names the append: another stream adds its own rows.
+    Micro-batches count from 0 in each checkpoint, so the id that the checkpoint keeps names the append, however its path
+    is written: another stream adds its own rows.
     """
-    stream_id = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        stream_id = json.loads(batch.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
         append_ledger(batch.withColumns({"run_id": F.lit(run_id), "batch": F.lit(batch_id)}), out, stream_id)
 
     _drain(outcomes, write, "append", checkpoint)

@@ -114,6 +114,32 @@ def test_idle_sessions(spark, sliced, tmp_path):
     assert len(closed) == got.count() and closed <= every and len(every) - len(closed) <= 6
 
 
+def test_idle_sessions_touch_no_setting_and_keep_all_outcomes(spark, sliced, tmp_path):
+    """Sessions that go on over several micro-batches, one run with nearly all outcomes, a null run, none of it lost."""
+    rows = spark.read.parquet(sliced).withColumn("run_id", F.when(F.col("path").startswith("P0"), F.lit(None)).otherwise(F.lit("hot")))
+    end = rows.agg(F.max("event_ts")).first()[0]
+    where = str(tmp_path / "in.parquet")
+    data = rows.orderBy("event_ts").toPandas()
+    for i in range(5):
+        part = data.iloc[i * len(data) // 5 : (i + 1) * len(data) // 5]
+        spark.createDataFrame(part, rows.schema).repartition(1).write.mode("append").parquet(where)
+    last = rows.limit(1).withColumn("event_ts", F.lit(end) + F.expr("INTERVAL 30 DAYS")).withColumn("run_id", F.lit("end"))
+    last.repartition(1).write.mode("append").parquet(where)
+    before = {k: v for k, v in spark.conf.getAll.items()}
+    got = jobs.run_append(jobs.idle_sessions(stream(spark, where), "3 hours", late="1 day"), *places(tmp_path))
+    assert {k: v for k, v in spark.conf.getAll.items()} == before
+    want = jobs.idle_sessions(rows, "3 hours").select(*got.columns)
+    assert same(want, got) and got.agg(F.sum("files")).first()[0] == rows.count()
+
+
+def test_an_append_is_named_by_the_checkpoint_however_written(spark, sliced, tmp_path):
+    out, state = places(tmp_path)
+    first = jobs.run_ledger_upsert(stream(spark, sliced), "live", out, state).count()
+    again = jobs.run_ledger_upsert(stream(spark, sliced), "live", out, f"file:{state}/../state/").count()
+    assert first == again == spark.read.parquet(sliced).count()
+    assert len({p.name for p in (tmp_path / "out").glob("run_id=live/batch=*/append_id=*")}) == 1
+
+
 def test_stream_without_files(spark, tmp_path):
     schema = "path string, status string, skipped boolean, size_bytes bigint, event_ts timestamp_ntz"
     (tmp_path / "none").mkdir()
