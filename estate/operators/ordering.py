@@ -7,10 +7,15 @@ each range, and shifted by the totals of the earlier ranges of the same group.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from estate.session import durable
 
@@ -100,13 +105,49 @@ def top_n_per_group(
 def with_previous(df: DataFrame, order_by: Sequence[str], within: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Add ``previous_<column>`` from the row before, per ``within`` group.
 
-    The neighbour is found by joining on (group, ordinal), whose keys are unique.
+    One sort deals the rows to ranges; within a range the columns are moved down by a row, batch by batch.  Only the first row of a
+    range lacks its neighbour, which is the last one of the range before: one row per range, so a small table carries them.
+    The ranges are written, so that first and last rows agree.  Rows equal in all keys may stand in any order.
     """
-    numbered = number_rows(df, order_by, within, ordinal="_n")
-    before = numbered.select(
-        *[F.col(w).alias(f"_key_{w}") for w in within],
-        (F.col("_n") + 1).alias("_next"),
-        *[F.col(c).alias(f"previous_{c}") for c in columns],
+    names = [*df.columns]
+    keys = [*within, *[c for c in columns if c not in within]]
+
+    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, seen, before = TaskContext.get().partitionId(), 0, None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            above = {}
+            for c in keys:
+                column = batch.column(c)
+                first = before[c] if before else pa.nulls(1, column.type)
+                above[c] = pa.concat_arrays([first, column.slice(0, n - 1)])
+            same = np.ones(n, bool)
+            same[0] = before is not None
+            for c in within:
+                equal = pc.equal(batch.column(c), above[c]).fill_null(False)
+                both = pc.and_(pc.is_null(batch.column(c)), pc.is_null(above[c]))
+                same &= pc.or_(equal, both).to_numpy(zero_copy_only=False)
+            keep = pa.array(same)
+            before = {c: batch.column(c).slice(n - 1) for c in keys}
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in names), *(pc.if_else(keep, above[c], pa.nulls(n, above[c].type)) for c in columns),
+                 pa.array(np.full(n, place, np.int32)), pa.array(np.arange(seen, seen + n))],
+                names=[*names, *(f"previous_{c}" for c in columns), _RANGE, _LOCAL],
+            )
+            seen += n
+
+    schema = StructType(
+        [*df.schema.fields, *[StructField(f"previous_{c}", df.schema[c].dataType) for c in columns], StructField(_RANGE, IntegerType()), StructField(_LOCAL, LongType())]
     )
-    adjacent = (F.col("_n") == F.col("_next")) & _same(within)
-    return numbered.join(before, adjacent, "left").drop("_n", "_next", *[f"_key_{w}" for w in within])
+    ranged = durable(df.orderBy(*within, *order_by).mapInArrow(moved, schema))
+    # one row per range
+    ends = ranged.groupBy(_RANGE).agg(F.max_by(F.struct(*keys), _LOCAL).alias("_end"))
+    before = ends.select((F.col(_RANGE)).alias("_at"), F.lag("_end").over(Window.orderBy(_RANGE)).alias("_end"))
+    heads = ranged.filter(F.col(_LOCAL) == 0).join(F.broadcast(before), F.col(_RANGE) == F.col("_at"))
+    near = F.col("_end").isNotNull()
+    for c in within:
+        near = near & F.col(c).eqNullSafe(F.col("_end")[c])
+    mended = heads.select(*names, *[F.when(near, F.col("_end")[c]).alias(f"previous_{c}") for c in columns])
+    return ranged.filter(F.col(_LOCAL) > 0).drop(_RANGE, _LOCAL).unionByName(mended)

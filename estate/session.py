@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,9 +46,36 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
+@contextmanager
+def written_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Own the tables that operators write to the shared folder inside the block, and remove them when it ends.
+
+        with written_tables(spark):
+            planning.assign_batches(files).write.parquet(target)
+
+    Results are lazy and read those tables: store them inside the block.  The names are fresh, so a block that failed and is
+    run again meets nothing of the first run, which has removed its own tables.  A block inside a block owns its own.
+    """
+    mine: list[str] = []
+    token = _owned.set(mine)
+    try:
+        yield mine
+    finally:
+        _owned.reset(token)
+        for location in mine:
+            remove(spark, location)
+
+
 def new_location(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    location = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(location)
+    return location
 
 
 def durable(df: DataFrame) -> DataFrame:

@@ -8,10 +8,12 @@ driver.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,9 @@ from estate.operators.logs import parse_log
 from estate.session import children, mark, remove
 from estate.sources.sinks import append_ledger
 
+# the helpers of the session step travel with their tasks; executors need no installed package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def stream_table(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """A Parquet table as a stream of its files, oldest first; ``files_per_batch`` bounds a micro-batch.

@@ -79,3 +79,26 @@ def test_milestones_at_one_moment(spark, rows):
     assert not [r for r in got if r.run_id == "s"]
     row = next(r for r in got if r.completed == 60_005)
     assert (row.event_ts, row.files_per_second, row.eta_hours) == (t1, 6000.5, round(60_009 / 6000.5 / 3600, 6))
+
+
+def test_previous_rows_across_ranges(spark):
+    """Null groups, one hot group over many ranges, and groups that end where a range does."""
+    from pyspark.sql import Window
+
+    from estate.operators.ordering import with_previous
+
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(F.concat(F.lit("g"), (F.col("id") % 700).cast("string"))).alias("g"),
+        F.col("id").alias("at"), F.when(F.col("id") % 5 > 0, F.col("id") * 2).alias("v"),
+    )
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the ranges are few
+    try:
+        found = with_previous(rows, ["at"], ["g"], ["at", "v"]).collect()
+        text = with_previous(rows, ["at"], ["g"], ["at", "v"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    order = Window.partitionBy("g").orderBy("at")
+    want = rows.select("*", F.lag("at").over(order).alias("previous_at"), F.lag("v").over(order).alias("previous_v")).collect()
+    assert sorted(map(str, found)) == sorted(map(str, want))
+    assert "SortMergeJoin" not in text and with_previous(rows.filter("false"), ["at"], ["g"], ["v"]).count() == 0

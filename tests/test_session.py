@@ -38,3 +38,31 @@ def test_durable_keeps_rows_and_schema(spark, rows):
     df = rows([(1, None, [1.5]), (None, "é", [])], "a bigint, b string, c array<double>")
     kept = session.durable(df)
     assert sorted(map(str, kept.collect())) == sorted(map(str, df.collect())) and kept.dtypes == df.dtypes
+
+
+OWNING = ["assign_batches", "snapshot_deltas", "progress_milestones", "flatten_hierarchy", "stream_throughput_late", "path_ledger_latest"]
+
+
+@pytest.mark.parametrize("key", OWNING)
+def test_written_tables_go_when_the_result_is_stored(spark, sf_dir, tmp_path, key):
+    from estate.plans import queries
+    from estate.session import children, shared_dir, written_tables
+
+    before = children(spark, shared_dir(spark))
+    with written_tables(spark) as owned:
+        queries.queries()[key](spark, sf_dir).write.parquet(str(tmp_path / "result"))
+        assert owned
+    assert children(spark, shared_dir(spark)) == before
+    assert spark.read.parquet(str(tmp_path / "result")).count() > 0
+
+
+def test_a_block_that_fails_leaves_nothing(spark, rows):
+    from estate.session import children, durable, shared_dir, written_tables
+
+    before = children(spark, shared_dir(spark))
+    with pytest.raises(RuntimeError), written_tables(spark):
+        durable(rows([(1,)], "x int"))
+        with written_tables(spark):
+            durable(rows([(2,)], "x int"))
+        raise RuntimeError("lost")
+    assert children(spark, shared_dir(spark)) == before
