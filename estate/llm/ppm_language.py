@@ -99,18 +99,21 @@ def fit(labelled: DataFrame, max_documents: int = 500, max_bytes: int = 200_000)
     """One tree per language from rows ``doc_id, text, lang``.
 
     The sample per language is bounded: the first ``max_documents`` documents in the order of a hash of the id, as long
-    as their whole texts together stay within ``max_bytes``; so the counts that reach the driver are bounded by
-    languages x ``max_bytes``.  Rows with null text or lang are left out.
+    as their whole texts together stay within ``max_bytes``.  A language all of whose texts are longer is learned from the shortest, whole.
+    Of each language the ``max_bytes`` most frequent contexts are kept, which are all of them but for such a text; so what
+    reaches the driver is bounded by languages x ``max_bytes``, and what is broadcast by languages x ``max_documents`` ids.
+    Rows with null text or lang are left out; repeated rows of a chosen document all count; other columns are ignored.
     """
     order = [F.xxhash64("doc_id"), "doc_id", "_n"]
-    usable = labelled.select("doc_id", "lang", "text", F.octet_length("text").alias("_n")).filter(
-        F.col("lang").isNotNull() & (F.col("_n") > 0) & (F.col("_n") <= max_bytes)
-    )
+    every = labelled.select("doc_id", "lang", "text", F.octet_length("text").alias("_n")).filter(F.col("lang").isNotNull() & (F.col("_n") > 0))
+    usable = every.filter(F.col("_n") <= max_bytes)
     # ids first: texts follow for the chosen ones only, of which there are at most languages x max_documents
     first = top_n_per_group(usable.select("doc_id", "lang", "_n"), ["lang"], order, max_documents, salt_on="doc_id")
     running = F.sum("_n").over(Window.partitionBy("lang").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     chosen = first.withColumn("_until", running).filter(F.col("_until") <= max_bytes).select("doc_id", "lang", "_n").distinct()
-    sample = usable.join(F.broadcast(chosen), ["doc_id", "lang", "_n"], "left_semi")
+    shortest = every.groupBy("lang").agg(F.min(F.struct("_n", F.xxhash64("doc_id").alias("h"), "doc_id")).alias("_s")).filter(F.col("_s._n") > max_bytes)
+    chosen = chosen.unionByName(shortest.select("_s.doc_id", "lang", "_s._n"))
+    sample = every.join(F.broadcast(chosen), ["doc_id", "lang", "_n"], "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,7 +126,8 @@ def fit(labelled: DataFrame, max_documents: int = 500, max_bytes: int = 200_000)
                 )
 
     counted = sample.select("lang", "text").mapInArrow(count, "lang string, gram bigint, n bigint")
-    rows = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    total = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    rows = top_n_per_group(total, ["lang"], [F.col("n").desc(), "gram"], max_bytes, salt_on="gram").toArrow()
     langs = np.array(rows["lang"].to_pylist(), object)
     gram, n = rows["gram"].to_numpy().astype(np.uint64), rows["n"].to_numpy().astype(float)
     return {lang: Tree.of(gram[langs == lang], n[langs == lang]) for lang in sorted(set(langs))}

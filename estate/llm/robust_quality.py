@@ -209,10 +209,11 @@ def quality_rules(docs: DataFrame, tail: float = TAIL) -> DataFrame:
     Estimates are made from all documents that pass the base rules.
 
     Null text has no words and fails; null lang or source is a value of its own; empty tables give an empty result;
-    repeated rows stay and count; columns with the names of the result are replaced.
+    repeated rows stay and count; columns with the names of the result are replaced, and all others, whatever their names, are carried along.
     """
-    own = (*_COUNTS, "base_failed", "distance", "kept")
-    named = docs.select(*[c for c in docs.columns if c.lower() not in own])
+    own = (*_COUNTS, "base_failed", "distance", "kept", "text")
+    # the caller's columns travel as one, so that none of their names meets one of the steps'
+    named = docs.select(F.struct(*[c for c in docs.columns if c.lower() not in own]).alias("_row"), "lang", "source", "text")
     # all counts once, in a narrow table: the steps read it again and again
     stats = durable(text_statistics(named).withColumn("base_failed", base_failed()))
     usable = stats.filter(~F.col("base_failed"))
@@ -226,4 +227,4 @@ def quality_rules(docs: DataFrame, tail: float = TAIL) -> DataFrame:
         .select("*", *[x.alias(n) for x, n in zip(_vector(), _X, strict=True)])
     )
     far = _distance(F.col("_centre"), F.col("_inverse"))
-    return scored.select(*stats.columns, far.alias("distance"), (~F.col("base_failed") & F.coalesce(far <= chi_square_quantile(1 - tail), F.lit(True))).alias("kept"))
+    return scored.select("_row.*", *_COUNTS, "base_failed", far.alias("distance"), (~F.col("base_failed") & F.coalesce(far <= chi_square_quantile(1 - tail), F.lit(True))).alias("kept"))

@@ -194,11 +194,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_per_label: int = MAX_
 
     Scores come from whole texts alone.  Null and empty texts are scored by their features, all zero.  Without
     labels of both kinds to grow and to calibrate, the score is the share of toxic documents in the sample (0 if there is none).
-    Repeated rows stay; an empty table gives an empty result; columns with the names of the result are replaced.
+    Repeated rows stay; an empty table gives an empty result; columns with the names of the result are replaced, and all others, whatever
+    their names, are carried along.
     """
     own = ("score", "predicted")
     docs = docs.select(*[c for c in docs.columns if c.lower() not in own])
-    sample = durable(labelled_sample(docs, labels, max_per_label))
+    sample = durable(labelled_sample(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"), max_per_label))
     count = {(r["_part"], r["toxic"]): r["n"] for r in sample.groupBy("_part", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     groups = (_TREE_PARTS, tuple(p for p in range(_PARTS) if p not in _TREE_PARTS))
     if not all(sum(count.get((p, label), 0) for p in g) for g in groups for label in (0, 1)):
@@ -221,7 +222,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_per_label: int = MAX_
     calibrated = IsotonicRegression(featuresCol="_raw", labelCol="label", predictionCol="_score").fit(
         raw(fit.filter(~F.col("_part").isin(*_TREE_PARTS))).select("_raw", "label")
     )
-    scored = calibrated.transform(raw(with_features(docs, lexicon).withColumn("features", array_to_vector("_features"))))
+    # the caller's columns travel as one, so that none of their names meets one of the model's
+    carried = docs.select(F.struct(*[c for c in docs.columns if c.lower() != "text"]).alias("_row"), "text")
+    scored = calibrated.transform(raw(with_features(carried, lexicon).withColumn("features", array_to_vector("_features"))))
     score = F.least(F.greatest("_score", F.lit(0.0)), F.lit(1.0))
-    kept = [c for c in docs.columns if c.lower() != "text"]
-    return scored.select(*kept, score.alias("score"), (score >= THRESHOLD).cast("int").alias("predicted"))
+    return scored.select("_row.*", score.alias("score"), (score >= THRESHOLD).cast("int").alias("predicted"))
