@@ -7,15 +7,16 @@ each range, and shifted by the totals of the earlier ranges of the same group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import DataType, IntegerType, LongType, StructField, StructType, TimestampNTZType
 
 from estate.session import durable
 
@@ -75,6 +76,74 @@ def number_rows(
     )
 
 
+#: rows sampled for each range, and ranges for each shuffle partition
+SAMPLED, RANGES = 16, 2
+
+
+def number_in_place(
+    df: DataFrame, order_by: Sequence[str], within: Sequence[str] = (), sums: Mapping[str, Column] | None = None, ordinal: str = "ordinal"
+) -> DataFrame:
+    """``number_rows`` for rows that are read again rather than copied: nothing as wide as ``df`` is written.
+
+    Bounds of the ranges come from a sample of the keys and are fixed in the plan: two for each shuffle partition, each drawn from 16
+    rows, so the driver's part does not grow with the rows.  A first pass reads the keys alone and counts each range; the result reads ``df`` once more, sorts each range and shifts it by the counts before.  So the pass that
+    counts and the one that numbers agree whatever is lost or run again, as long as ``df`` gives the same rows each time it is
+    read: write it down first if it does not.  Where ``df`` is an aggregate that costs much and holds little, take ``number_rows``.
+
+    Keys are ascending with nulls first.  Rows equal in all keys share a range, and are numbered in any order; an empty ``df`` gives
+    an empty result.
+    """
+    sums = dict(sums or {})
+    keys = [*within, *order_by]
+    ranges = RANGES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = _with_range(df, keys, _bounds(df.select(F.struct(*keys).alias("_key")), ranges))
+    added = ranged.select(_RANGE, *within, *[e.alias(f"_add_{n}") for n, e in sums.items()])
+    totals = added.groupBy(_RANGE, *within).agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(f"_add_{n}").alias(f"_sum_{n}") for n in sums])
+    earlier = Window.partitionBy(*within).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *[F.col(k).alias(f"_key_{k}") for k in (_RANGE, *within)],
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias(_BEFORE),
+        *[F.sum(f"_sum_{n}").over(earlier).alias(f"_before_{n}") for n in sums],
+    )
+    each = Window.partitionBy(_RANGE, *within).orderBy(*order_by)
+    upto = each.rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.select("*", F.row_number().over(each).alias(_LOCAL), *[F.sum(e).over(upto).alias(f"_upto_{n}") for n, e in sums.items()])
+    same = (F.col(_RANGE) == F.col(f"_key_{_RANGE}")) & _same(within)
+    # every row has its offset; a left join spares the search a second run to rule out nulls
+    return local.join(durable(offsets), same, "left").select(
+        *df.columns,
+        (F.col(_BEFORE) + F.col(_LOCAL)).cast("bigint").alias(ordinal),
+        *[(F.coalesce(F.col(f"_before_{n}"), F.lit(0)) + F.col(f"_upto_{n}")).alias(n) for n in sums],
+    )
+
+
+def _bounds(keys: DataFrame, ranges: int) -> list[Row]:
+    """At most ``ranges`` ascending keys, each the end of a range, from a sample of ``SAMPLED`` rows for each range."""
+    drawn = keys.withColumn("_draw", F.xxhash64("_key", F.monotonically_increasing_id())).orderBy("_draw").limit(ranges * SAMPLED)
+    found = drawn.agg(F.array_distinct(F.array_sort(F.collect_list("_key"))).alias("_all"))
+    step = F.greatest(F.lit(1), F.ceil(F.size("_all") / ranges)).cast("int")
+    return found.select(F.filter("_all", lambda _, i: i % step == step - 1)).first()[0]
+
+
+def _with_range(df: DataFrame, keys: Sequence[str], bounds: list[Row]) -> DataFrame:
+    """Add a number that grows with the key: two short searches, first among the ends of groups of bounds, then within one."""
+
+    def value(v, kind: DataType) -> Column:
+        return F.lit(v.isoformat() if isinstance(kind, TimestampNTZType) and v is not None else v).cast(kind)
+
+    def struct(row: Row) -> Column:
+        return F.struct(*[value(v, df.schema[k].dataType).alias(k) for k, v in zip(keys, row, strict=True)])
+
+    if not bounds:
+        return df.withColumn(_RANGE, F.lit(0))
+    width = math.isqrt(len(bounds)) + 1
+    groups = [bounds[i : i + width] for i in range(0, len(bounds), width)]
+    below = lambda found: F.coalesce(F.size(F.filter(found, lambda b: b <= F.struct(*keys))), F.lit(0))
+    passed = df.withColumn("_passed", below(F.array(*[struct(g[-1]) for g in groups])))
+    inside = below(F.get(F.array(*[F.array(*map(struct, g)) for g in groups]), F.col("_passed")))
+    return passed.withColumn(_RANGE, F.col("_passed") * width + inside).drop("_passed")
+
+
 def _same(keys: Sequence[str]) -> Column:
     cond = F.lit(True)
     for key in keys:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from estate.functions import measures, paths, rules
 from estate.functions.measures import gb
-from estate.operators.ordering import number_rows
+from estate.operators.ordering import number_in_place
 
 PATH, SIZE, MODIFIED = "relative_path", "size_bytes", "modified_ts"
 
@@ -17,7 +17,7 @@ PATH, SIZE, MODIFIED = "relative_path", "size_bytes", "modified_ts"
 def assign_batches(files: DataFrame, batch_size: int = 100, smallest_first: bool = True) -> DataFrame:
     """Add ``position`` and ``batch`` in order of (size, path), or of path alone."""
     order = [SIZE, PATH] if smallest_first else [PATH]
-    return with_batch(number_rows(files, order, ordinal="position"), batch_size)
+    return with_batch(number_in_place(files, order, ordinal="position"), batch_size)
 
 
 def with_batch(numbered: DataFrame, batch_size: int) -> DataFrame:
@@ -39,7 +39,7 @@ def resume_batches(
 def dirs_creation_order(directories: DataFrame, batch_size: int = 10) -> DataFrame:
     """Shallowest first, in batches."""
     keyed = directories.withColumn("depth", paths.depth("directory"))
-    return with_batch(number_rows(keyed, ["depth", "directory"], ordinal="position"), batch_size)
+    return with_batch(number_in_place(keyed, ["depth", "directory"], ordinal="position"), batch_size)
 
 
 def migration_estimate(files: DataFrame, as_of: datetime | str) -> DataFrame:

@@ -82,6 +82,24 @@ def test_log_line_numbers_over_blocks(spark, tmp_path, max_bytes):
     assert got == want and plain == len(want)
 
 
+def test_log_lines_are_not_copied_and_a_new_split_is_an_error(spark, tmp_path, monkeypatch):
+    (tmp_path / "one.log").write_text("".join(f"line {i} {'x' * 80}\n" for i in range(2000)))
+    written = []
+    durable = loglines.durable
+    monkeypatch.setattr(loglines, "durable", lambda df: written.append(df.columns) or durable(df))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        lines = loglines.read_log_lines(spark, str(tmp_path))
+        assert lines.count() == 2000 and written == [["file", "_block", "_length", "_first", "_rows", "_before"]]
+        assert lines.filter("cast(split(raw_line, ' ')[1] as int) + 1 <> line_number").count() == 0
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")
+        with pytest.raises(Exception, match="split otherwise"):
+            lines.select("raw_line", "line_number", "file").filter("line_number > 0").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_log_analysis(spark, rows):
     lines = [
         ("old.log", 1, "2024-01-01 10:00:00,000 - INFO - 🔥 TURBO Progress: 10/100 (10.0%) - 3 new downloads"),

@@ -30,6 +30,53 @@ def test_number_rows_with_hot_group(spark, rows):
     assert {r.i: (r.ordinal, r.total) for r in got} == want
 
 
+def test_number_in_place(spark, rows):
+    """Hot and null groups, null keys and ties over many ranges; an empty table."""
+    data = [(g, v if i % 11 else None, i) for g, v, i in sample()]
+    df = rows(data, "g string, v int, i int")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        got = ordering.number_in_place(df, ["v", "i"], ["g"], {"total": F.col("v")}).collect()
+        tied = ordering.number_in_place(df, ["v"]).collect()
+        assert ordering.number_in_place(df.filter("false"), ["v"], ["g"], {"total": F.col("v")}).collect() == []
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    key = lambda v: (v is not None, v or 0)
+    groups = defaultdict(list)
+    for g, v, i in data:
+        groups[g].append((key(v), i))
+    want = {}
+    for members in groups.values():
+        total = 0
+        for n, ((_, v), i) in enumerate(sorted(members), 1):
+            total += v
+            want[i] = (n, total)
+    assert {r.i: (r.ordinal, r.total or 0) for r in got} == want
+    tied.sort(key=lambda r: r.ordinal)
+    assert [r.ordinal for r in tied] == list(range(1, len(data) + 1))
+    assert [key(r.v) for r in tied] == sorted(key(r.v) for r in tied)
+
+
+def test_numbering_writes_no_copy(spark, tmp_path, monkeypatch):
+    """What is written holds a row per range, however wide the rows are."""
+    wide = tmp_path / "wide"
+    digits = F.concat(*[F.sha2(F.concat("id", F.lit(k)).cast("string"), 256) for k in range(16)])
+    spark.range(4000).select(F.col("id").alias("size_bytes"), F.concat(F.lit("p"), "id").alias("relative_path"), digits.alias("wide")).write.parquet(str(wide))
+    written = []
+    durable = ordering.durable
+    monkeypatch.setattr(ordering, "durable", lambda df: written.append(durable(df)) or written[-1])
+    numbered = planning.assign_batches(spark.read.parquet(str(wide)), 7)
+    assert numbered.agg(F.max("position"), F.count_distinct("position")).first()[:] == (4000, 4000)
+    assert len(written) == 1 and all("wide" not in w.columns for w in written)
+    size = lambda folder: sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    from pathlib import Path
+    from urllib.parse import unquote, urlparse
+
+    parts = {Path(unquote(urlparse(f).path)).parent for w in written for f in w.inputFiles()}
+    assert 0 < sum(map(size, parts)) < size(wide) / 20
+
+
 def test_with_previous(spark, rows):
     data = sample(500)
     got = ordering.with_previous(rows(data, "g string, v int, i int"), ["v", "i"], ["g"], ["i"]).collect()
