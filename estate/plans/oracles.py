@@ -744,6 +744,14 @@ def oracle_sql() -> dict[str, str]:
         CASE WHEN doc_id % 10 <> 0 AND doc_id % 7 <> 0 THEN md5(text) END AS checksum FROM contents""",
     )
 
+    put(
+        "copy_sync_plan",
+        "contents",
+        """SELECT relative_path AS path, 'success' AS status, NOT copied AS skipped, NULL::VARCHAR AS error, size_bytes,
+        CASE WHEN copied THEN 1 ELSE 0 END::INTEGER AS attempt, CASE WHEN copied THEN md5(text) END AS checksum
+        FROM (SELECT *, doc_id % 3 = 0 OR doc_id % 5 < 2 AS copied FROM contents)""",
+    )
+
     # --- logs
     put(
         "read_log_lines",

@@ -4,7 +4,9 @@ import hashlib
 import os
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from estate.operators import hierarchy, logs, planning
 from estate.sources import files, loglines, sinks
@@ -63,6 +65,87 @@ def test_copy(spark, rows, tmp_path):
     assert {r.path: r.skipped for r in again.collect() if r.status == "success"} == {"a/x.PDF": True, "a/b c/é.xls": True, "top.txt": True}
 
 
+def test_copy_in_parts(spark, rows, tmp_path):
+    """Parts of large files are joined whole; parts of an earlier run of the same source are taken up, others are not; none stay."""
+    big = bytes(range(256)) * 40
+    make(tmp_path / "from", {"a/big.pdf": big, "a/small.pdf": b"s", "b/late.pdf": big[::-1], "c/kept.pdf": big, "c/grown.pdf": big + b"!", "d/same.pdf": big})
+    make(tmp_path / "to", {"c/kept.pdf": b"old and never looked at", "d/same.pdf": bytes(len(big))})
+    roots = (str(tmp_path / "from"), str(tmp_path / "to"))
+    state = os.stat(tmp_path / "from/a/big.pdf")
+    named = lambda name, at: f".{hashlib.md5(name.encode()).hexdigest()}.{len(big)}.{at}.1000.parts"
+    left = bytes(1000)  # other bytes show which part is used
+    make(tmp_path / "to", {f"a/{named('big.pdf', state.st_mtime_ns)}/3000": left, f"b/{named('late.pdf', 1)}/0": left})
+    data = [("a/big.pdf", None, len(big)), ("a/small.pdf", "create", 1), ("b/late.pdf", "create", len(big)), ("c/kept.pdf", "skip", len(big))]
+    data += [("c/grown.pdf", None, len(big)), ("d/same.pdf", "overwrite", len(big)), ("none.pdf", None, 5000), ("b/late.pdf", "create", len(big))]
+    manifest = rows(data, "path string, action string, size_bytes bigint")
+    got = files.copy_files(manifest, *roots, backoff_seconds=0.01, part_bytes=1000).collect()
+    assert sorted((r.path, r.status, r.skipped) for r in got if r.path != "b/late.pdf") == [
+        ("a/big.pdf", "success", False), ("a/small.pdf", "success", False), ("c/grown.pdf", "success", False), ("c/kept.pdf", "success", True),
+        ("d/same.pdf", "success", False), ("none.pdf", "failed", False),
+    ]
+    assert [r.status for r in got if r.path == "b/late.pdf"] == ["success", "success"]
+    read = lambda p: (tmp_path / "to" / p).read_bytes()
+    assert read("a/big.pdf") == big[:3000] + left + big[4000:] and read("b/late.pdf") == big[::-1]
+    assert read("c/kept.pdf").startswith(b"old") and read("c/grown.pdf") == big + b"!" and read("d/same.pdf") == big
+    assert [p.parent.name for p in (tmp_path / "to").rglob("*.parts")] == ["b"]  # of the other state of the source
+    checked = files.copy_files(manifest.filter("path = 'a/big.pdf'"), *roots, verify_md5=True, part_bytes=1000).collect()
+    assert [(r.skipped, r.checksum) for r in checked] == [(False, hashlib.md5(big).hexdigest())] and read("a/big.pdf") == big
+    assert files.copy_files(manifest.filter("false"), *roots).collect() == []
+
+
+def test_work_is_dealt_by_bytes(spark, rows):
+    """A file of half of all bytes is alone in its task, and small ones share the others."""
+    sizes = [("m.big", 1 << 40)] + [(f"{k % 7}/{k:04}", 1 << 30) for k in range(1000)] + [("n", None), ("n", None), ("z", -5)]
+    df = rows(sizes, "path string, size_bytes bigint")
+    dealt = files.deal_by_bytes(df, "path", 8).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r.path, r.size_bytes or 0) for r in dealt) == sorted((p, s or 0) for p, s in sizes)
+    per_task = {}
+    for r in dealt:
+        per_task.setdefault(r.task, []).append(r.size_bytes or 0)
+    alone = [v for v in per_task.values() if 1 << 40 in v]
+    others = [sum(v) for v in per_task.values() if 1 << 40 not in v]
+    share = (2000 << 30) / 8
+    assert sum(alone[0]) < (1 << 40) + share and len(others) >= 4 and max(others) <= share * 1.05
+    by_size = files.deal_by_bytes(df, "path", None, 100 << 30).rdd.getNumPartitions()
+    assert by_size in (20, 21) and files.deal_by_bytes(df.filter("false"), "path").count() == 0
+    assert files.deal_by_bytes(df.select("path"), "path", 3).rdd.getNumPartitions() == 3
+
+
+def test_unreadable_entries_are_rows(spark, tmp_path, monkeypatch):
+    """A link to itself cannot be read even by root; a folder that refuses is tried in this process."""
+    make(tmp_path, TREE)
+    os.symlink("loop.pdf", tmp_path / "a" / "loop.pdf")
+    os.symlink("gone", tmp_path / "a" / "dangling.pdf")
+    (tmp_path / "a" / os.fsdecode(b"caf\xe9.pdf")).write_bytes(b"latin")
+    got = {r.relative_path: (r.size_bytes, r.error) for r in files.scan_files(spark, str(tmp_path), unreadable="rows").collect()}
+    assert {p: s for p, (s, e) in got.items() if e is None} == {k: len(v) for k, v in TREE.items()}
+    assert set(got) - set(TREE) == {"a/loop.pdf", "a/caf\ufffd.pdf"} and "symbolic links" in got["a/loop.pdf"][1]
+    kept = files.scan_files_filtered(spark, str(tmp_path), unreadable="rows").filter("error is not null")
+    assert kept.count() == 2
+    with pytest.raises(Exception, match="loop.pdf|UTF-8"):
+        files.scan_files(spark, str(tmp_path)).count()
+
+    real = os.scandir
+    monkeypatch.setattr(os, "scandir", lambda p: (_ for _ in ()).throw(PermissionError(13, "Permission denied", p)) if p.endswith("b c") else real(p))
+    asked = [pa.RecordBatch.from_pydict({"relative_path": ["a/b c", "gone"]})]
+    listed = [r for b in files._list_task(str(tmp_path), True)(iter(asked)) for r in b.to_pylist()]
+    assert [(r["relative_path"], r["is_folder"], r["size_bytes"]) for r in listed] == [("a/b c", False, None)] and "Permission" in listed[0]["error"]
+    with pytest.raises(PermissionError):
+        list(files._list_task(str(tmp_path), False)(iter(asked)))
+
+
+def test_a_flat_folder_is_listed_in_batches(spark, tmp_path):
+    for k in range(2500):
+        (tmp_path / f"{k}.pdf").touch()
+    batches = list(files._list_task(str(tmp_path), False)(iter([pa.RecordBatch.from_pydict({"relative_path": [""]})])))
+    assert [b.num_rows for b in batches] == [1000, 1000, 500]
+    from pyarrow import fs
+
+    plain = sorted(files._entries(fs.LocalFileSystem(), str(tmp_path), True))
+    assert plain == sorted(files._local_entries(str(tmp_path), True)) and len(plain) == 2500
+    assert files.scan_files(spark, str(tmp_path)).count() == 2500
+
+
 @pytest.mark.parametrize("max_bytes", ["134217728", "3000"])
 def test_log_line_numbers_over_blocks(spark, tmp_path, max_bytes):
     """The numbers do not depend on how a file is cut into blocks."""
