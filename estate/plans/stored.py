@@ -75,7 +75,7 @@ def copy_files(spark, d):
 def copy_sync_plan(spark, d):
     """Create, overwrite and skip in one call: a third of the files is not there, some of the others are newer at the source."""
     source, target = _as_files(spark, d, label="source"), _as_files(spark, d, "doc_id % 3 = 0", "target")
-    listed = t.contents(spark, d).select("relative_path", F.octet_length("content").cast("bigint").alias("size_bytes"), "doc_id", timestamp(t.BASE).alias("modified_ts"))
+    listed = t.contents(spark, d).select("relative_path", F.octet_length("content").cast("bigint").alias("size_bytes"), "doc_id", timestamp("2001-08-01 04:00:00").alias("modified_ts"))
     older = F.col("modified_ts") + F.make_dt_interval(F.col("doc_id") % 5 - 2)
     there = listed.filter("doc_id % 3 <> 0").withColumn("modified_ts", older)
     location = new_location(spark, "outcomes")
