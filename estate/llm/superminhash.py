@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,6 +77,12 @@ def signatures(keys: np.ndarray, bounds: np.ndarray, slots: int) -> np.ndarray:
     return out.reshape(n, slots)
 
 
+def _names(keys: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """A 128-bit name of each set."""
+    name = np.stack([span_hashes(k, bounds[:-1], bounds[1:]) for k in (keys, mix(keys))], axis=1)
+    return pa.array([x.tobytes() for x in name], pa.binary())
+
+
 def _sign(docs: DataFrame, bands: int, rows: int, shingle: int) -> DataFrame:
     """``_id, n_shingles, _set, _bands``: a 128-bit name of the set and a bucket per band (none for empty sets)."""
     slots = bands * rows
@@ -85,7 +92,6 @@ def _sign(docs: DataFrame, bands: int, rows: int, shingle: int) -> DataFrame:
             for part in text_slices(batch, "_text", SLICE_BYTES // 2):
                 keys, bounds = shingle_sets(part.column("_text"), shingle)
                 size = np.diff(bounds)
-                name = np.stack([span_hashes(k, bounds[:-1], bounds[1:]) for k in (keys, mix(keys))], axis=1)
                 full = size > 0
                 values = signatures(keys, bounds, slots)[full].view(np.uint64).ravel()
                 start = np.arange(len(values) // rows) * rows
@@ -93,7 +99,7 @@ def _sign(docs: DataFrame, bands: int, rows: int, shingle: int) -> DataFrame:
                 bucket = mix(bucket ^ mix(np.arange(1, bands + 1, dtype=np.uint64)))
                 lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum(full * bands)].astype(np.int32), pa.array(bucket.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_id"), pa.array(size, pa.int64()), pa.array([x.tobytes() for x in name], pa.binary()), lists],
+                    [part.column("_id"), pa.array(size, pa.int64()), _names(keys, bounds), lists],
                     names=["_id", "n_shingles", "_set", "_bands"],
                 )
 
@@ -102,7 +108,7 @@ def _sign(docs: DataFrame, bands: int, rows: int, shingle: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """``_id, _keys``: the full shingle set as sorted 64-bit hashes."""
+    """``_set, _keys``: the name of each text's shingle set and the full set as sorted 64-bit hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,10 +116,9 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
                 keys, bounds = shingle_sets(part.column("_text"), shingle)
                 offsets = (bounds * 8).astype(np.int32)
                 packed = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(keys)])
-                yield pa.RecordBatch.from_arrays([part.column("_id"), packed], names=["_id", "_keys"])
+                yield pa.RecordBatch.from_arrays([_names(keys, bounds), packed], names=["_set", "_keys"])
 
-    kind = docs.schema["_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"_id {kind}, _keys binary")
+    return docs.mapInArrow(run, "_set binary, _keys binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -132,21 +137,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 link[i] = 100 * both >= percent * (len(x) + len(y) - both)
             yield batch.select(["a", "b"]).filter(pa.array(link))
 
-    kind = pairs.schema["a"].dataType.simpleString()
-    joined = pairs.join(sets.select(F.col("_id").alias("a"), F.col("_keys").alias("_x")), "a").join(
-        sets.select(F.col("_id").alias("b"), F.col("_keys").alias("_y")), "b"
+    joined = pairs.join(sets.select(F.col("_set").alias("a"), F.col("_keys").alias("_x")), "a").join(
+        sets.select(F.col("_set").alias("b"), F.col("_keys").alias("_y")), "b"
     )
-    return joined.select("a", "b", "_x", "_y").mapInArrow(run, f"a {kind}, b {kind}")
+    return joined.select("a", "b", "_x", "_y").mapInArrow(run, "a binary, b binary")
 
 
 def _crossed(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``a, b`` between components inside a bucket, from ``bucket, a, ca, ch``: row, its component, the hub's.
+    """Links ``a, b`` between components inside a bucket, from ``bucket, a, ca, ch``: set, its component, the hub's.
 
     Rows of other components than the hub's are compared with the whole bucket, chunk by chunk of about ``CHUNK`` rows
     on either side, so the size of a bucket bounds no task.  A chunk counts common shingles by matrix products and
     returns one link for each row and component that it reaches, never the pairs.
     """
-    kind = mixed.schema["a"].dataType.simpleString()
     other = F.col("ca") != F.col("ch")
     sizes = durable(mixed.groupBy("bucket").agg(*[F.ceil(F.count(x) / CHUNK).alias(n) for x, n in ((F.lit(1), "all_chunks"), (F.when(other, 1), "other_chunks"))]))
     rows = mixed.join(sizes, "bucket")
@@ -155,11 +158,12 @@ def _crossed(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = rows.filter(other).withColumn("o", own("other_chunks")).withColumn("m", each("all_chunks"))
     right = rows.withColumn("m", own("all_chunks")).withColumn("o", each("other_chunks"))
     dealt = left.select("bucket", "o", "m", F.lit(True).alias("left"), "a", "ca").unionByName(right.select("bucket", "o", "m", F.lit(False).alias("left"), "a", "ca"))
-    dealt = dealt.join(sets.select(F.col("_id").alias("a"), F.col("_keys").alias("keys")), "a").select("bucket", "o", "m", "left", "a", "ca", "keys")
+    dealt = dealt.join(sets.select(F.col("_set").alias("a"), F.col("_keys").alias("keys")), "a").select("bucket", "o", "m", "left", "a", "ca", "keys")
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
         left = table.column("left").to_numpy()
-        ids, component = table.column("a").to_numpy(), table.column("ca").to_numpy()
+        ids = table.column("a").combine_chunks()
+        component = pc.rank(table.column("ca").combine_chunks(), tiebreaker="dense").to_numpy()
         lists = [np.frombuffer(k.as_buffer(), np.uint64) for k in table.column("keys")]
         size = np.array([len(x) for x in lists])
         names, row = np.concatenate(lists), np.repeat(np.arange(len(lists)), size)
@@ -179,9 +183,9 @@ def _crossed(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         link = 100 * both >= percent * (size[x][:, None] + size[y][None, :] - both)
         i, j = np.nonzero(link & (component[x][:, None] != component[y][None, :]))
         _, first = np.unique(np.stack([i, component[y][j]]), axis=1, return_index=True) if len(i) else (None, np.zeros(0, np.int64))
-        return pa.table({"a": pa.array(ids[x[i[first]]]), "b": pa.array(ids[y[j[first]]])})
+        return pa.table({"a": ids.take(pa.array(x[i[first]])), "b": ids.take(pa.array(y[j[first]]))})
 
-    return dealt.groupBy("bucket", "o", "m").applyInArrow(compare, f"a {kind}, b {kind}")
+    return dealt.groupBy("bucket", "o", "m").applyInArrow(compare, "a binary, b binary")
 
 
 def near_duplicates(
@@ -198,27 +202,27 @@ def near_duplicates(
     candidate pair is left out unless its ends are connected already.
 
     Null or wordless text has an empty set and is linked with nothing, nor is a null id (which is its own
-    component, null); rows that share an id are one document if their texts agree and linked by the id in any case; texts
-    are taken whole; an empty table gives an empty result; other columns are ignored.
+    component, null); rows that share an id are one document if their texts agree and linked by the id in any case, and each
+    of their texts is compared; texts are taken whole; an empty table gives an empty result; other columns are ignored.
     """
     texts = docs.select(F.col(id_column).alias("_id"), F.col("text").alias("_text"))
     signed = durable(_sign(texts, bands, rows, shingle))
     usable = F.col("_id").isNotNull() & (F.col("n_shingles") > 0)
-    classes = durable(signed.filter(usable).groupBy("_set").agg(F.min("_id").alias("_class")))
-    member = durable(signed.filter(usable).select("_set", "_id").join(classes, "_set").select("_id", "_class"))
+    member = durable(signed.filter(usable).select("_set", "_id").distinct())
+    classes = durable(member.groupBy("_set").agg(F.min("_id").alias("_class")))
 
-    # representatives by bucket, only of buckets that hold two or more
+    # sets by bucket, each from one of its texts, only of buckets that hold two or more
     bucketed = signed.filter(usable).join(classes.select(F.col("_class").alias("_id"), F.col("_set").alias("_s")), "_id").filter("_set = _s")
-    entries = bucketed.select(F.explode("_bands").alias("bucket"), F.col("_id").alias("a")).distinct()
+    entries = bucketed.select(F.explode("_bands").alias("bucket"), F.col("_set").alias("a")).distinct()
     hubs = entries.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "a").alias("h"), "a"))["a"].alias("hub"), F.count(F.lit(1)).alias("n"))
     shared = durable(entries.join(durable(hubs.filter("n > 1")), "bucket").select("bucket", "a", "hub"))
     pair = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    wanted = durable(shared.select(F.col("a").alias("_id")).distinct())
-    sets = durable(_sets(texts.join(wanted, "_id", "left_semi"), shingle).dropDuplicates(["_id"]))
+    wanted = durable(shared.select(F.col("a").alias("_set")).distinct().join(classes, "_set"))
+    named = _sets(texts.join(wanted.select(F.col("_class").alias("_id")).distinct(), "_id", "left_semi"), shingle)
+    sets = durable(named.join(wanted.select("_set"), "_set", "left_semi").dropDuplicates(["_set"]))
     links = durable(_verified(pair(shared.filter("a != hub").select("a", F.col("hub").alias("b"))), sets, percent))
 
-    same_id = member.filter("_id != _class").select(F.col("_id").alias("a"), F.col("_class").alias("b"))
     found = components(links)
     label = lambda ids, key, name: ids.join(found.select(F.col("id").alias(key), F.col("component").alias(name)), key, "left").withColumn(
         name, F.coalesce(name, key)
@@ -229,8 +233,13 @@ def near_duplicates(
         mixed = labelled.join(others.select("bucket").distinct(), "bucket", "left_semi")
         links = links.unionByName(durable(_crossed(mixed, sets, percent)))
 
-    # an id with several texts joins their classes
-    final = components(links.unionByName(same_id))
-    out = signed.select("_id", "n_shingles").join(final, F.col("_id") == F.col("id"), "left")
+    # an id with several texts joins their sets; a component is named by the smallest id of its sets
+    first = member.groupBy("_id").agg(F.min("_set").alias("a"), F.max("_set").alias("_last")).filter("a != _last")
+    same_id = member.join(first, "_id").filter("_set != a").select("a", F.col("_set").alias("b"))
+    final = classes.join(components(links.unionByName(same_id)), F.col("_set") == F.col("id"), "left")
+    final = durable(final.select("_set", "_class", F.coalesce("component", "_set").alias("_group")))
+    lowest = final.groupBy("_group").agg(F.min("_class").alias("component"))
+    placed = durable(final.join(lowest, "_group").select("_set", "component"))
+    out = signed.select("_id", "n_shingles", F.when(usable, F.col("_set")).alias("_set")).join(placed, "_set", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "_id")).otherwise(F.col("_id"))
     return out.select(F.col("_id").alias("doc_id"), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("_id"), F.lit(True)).alias("kept"))

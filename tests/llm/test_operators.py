@@ -331,6 +331,23 @@ def test_quantisation_bound_holds():
 # near duplicates
 
 
+def test_every_text_of_an_id_is_compared(spark):
+    """Two texts an id, in either order of their sets: the links of both count."""
+    rnd = np.random.default_rng(5)
+    text = lambda: " ".join(f"w{x}" for x in rnd.integers(0, 10_000, 60))
+    rows, want = [], {}
+    for k in range(0, 60, 3):
+        one, two = text(), text()
+        rows += [(k, one), (k, two), (k + 1, one + " end"), (k + 2, "start " + two)]
+        want |= {k: k, k + 1: k, k + 2: k}
+    rows += [(100, rows[0][1]), (100, None), (101, None), (None, rows[0][1])]
+    want |= {100: 0, 101: 101}
+    out = superminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in out if r.doc_id is not None and r.n_shingles} == {(k, v) for k, v in want.items() if k != 101}
+    assert {(r.doc_id, r.component_id, r.kept) for r in out if not r.n_shingles} == {(100, 100, True), (101, 101, True)}
+
+
 def test_near_duplicates_match_brute_force(docs, texts, empty):
     out = superminhash.near_duplicates(docs).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute.near_duplicates(texts)
