@@ -1,6 +1,7 @@
 """Every operator against brute force, the library it stands for, an exact round trip or held-out labels."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import defaultdict
@@ -295,6 +296,7 @@ def test_patterns_use_every_piece_once(counts):
 
 def test_neighbours_match_brute_force(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(int8_neighbours, "TILE", 60)
+    monkeypatch.setattr(int8_neighbours, "HELD", 100)
     rng = np.random.default_rng(2)
     base = [list(map(float, r.embedding)) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").limit(150).collect()]
     rows = [(k, v) for k, v in enumerate(base)]
@@ -328,6 +330,43 @@ def test_quantisation_bound_holds():
     assert (np.abs(near - x @ x.T) <= e[:, None] + e + e[:, None] * e + 1e-12).all()
 
 
+def test_both_codes_hold_their_bound():
+    x = int8_neighbours._unit(np.random.default_rng(1).normal(size=(200, 64)))
+    q, s, _ = int8_neighbours.quantise(x)
+    f, t, e = int8_neighbours.quantise(x - q * s[:, None])
+    near = q * s[:, None] + f * t[:, None]
+    assert (np.abs(near @ near.T - x @ x.T) <= e[:, None] + e + e[:, None] * e + 1e-12).all() and e.max() < 1e-4
+
+
+def test_pairs_next_to_the_threshold_are_computed_from_the_vectors(spark, monkeypatch):
+    """Cosines of 0.9 and a ten-millionth more or less, which no code can settle."""
+    monkeypatch.setattr(int8_neighbours, "TILE", 8)
+    rng = np.random.default_rng(8)
+    base = int8_neighbours._unit(rng.normal(size=(10, 32)))
+    rows, want = [], {}
+    for k, u in enumerate(base):
+        rows.append((100 * k, u.tolist()))
+        for n in range(1, 7):
+            w = rng.normal(size=32)
+            w = w - (w @ u) * u
+            c = 0.9 + (1e-7 if n % 2 else -1e-7)
+            rows.append((100 * k + n, (n * (c * u + math.sqrt(1 - c * c) * w / np.linalg.norm(w))).tolist()))
+    unit = int8_neighbours._unit(np.array([v for _, v in rows]))
+    links = [(rows[i][0], rows[j][0]) for i, j in zip(*np.nonzero(np.triu(unit @ unit.T >= 0.9, 1)), strict=True)]
+    assert sum(a % 100 == 0 for a, _ in links) == 30
+    low = brute.components([i for i, _ in rows], links)
+    degree = defaultdict(int)
+    for a, b in links:
+        degree[a] += 1
+        degree[b] += 1
+    want = {i: (degree[i], low[i]) for i, _ in rows} | {None: (degree[1] + 1, None), 1000: (0, 1000)}
+    for i in [1] + [b if a == 1 else a for a, b in links if 1 in (a, b)]:
+        want[i] = (want[i][0] + 1, want[i][1])
+    df = spark.createDataFrame([*rows, (None, rows[1][1]), (1000, [-0.0] * 32)], "vec_id long, embedding array<double>")
+    out = int8_neighbours.neighbours(df).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in out} == {**want, None: (want[1][0], None)}
+
+
 # near duplicates
 
 
