@@ -38,14 +38,19 @@ def match_rules(text: Column | str, rule_list, otherwise: Column | str) -> Colum
     return first_match(tests, otherwise)
 
 
-def classify_error(error: Column | str, rule_set: str = "log") -> Column:
-    """Failure class under one of the rule sets log, monitor, insight, insight_detail."""
+def classify_error(error: Column | str, rule_set: str = "log", detail_chars: int | None = rules.DETAIL_PREFIX_CHARS) -> Column:
+    """Failure class under one of the rule sets log, monitor, insight, insight_detail.
+
+    An unnamed class of ``insight_detail`` is the text before the first colon, cut to ``detail_chars``; None keeps it whole, so that
+    causes which differ late stay apart.
+    """
     text = _col(error)
     if rule_set == "insight_detail":
         known = F.coalesce(text, F.lit(rules.UNKNOWN_ERROR))
+        prefix = F.substring_index(known, ":", 1)
         detail = F.when(
             F.contains(known, F.lit(":")),
-            F.left(F.substring_index(known, ":", 1), F.lit(rules.DETAIL_PREFIX_CHARS)),
+            prefix if detail_chars is None else F.left(prefix, F.lit(detail_chars)),
         ).otherwise(F.lit(rules.ERROR_OTHERWISE["insight"]))
         return match_rules(text, rules.ERROR_RULES["insight"], detail)
     return match_rules(text, rules.ERROR_RULES[rule_set], rules.ERROR_OTHERWISE[rule_set])

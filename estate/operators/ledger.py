@@ -262,8 +262,10 @@ def failure_reasons(ledger: DataFrame) -> DataFrame:
     return _most_common(failed(ledger), reason)
 
 
-def failure_classes(ledger: DataFrame, rule_set: str = "monitor", top: int | None = None) -> DataFrame:
-    counts = _most_common(failed(ledger), classify_error("error", rule_set).alias("error_class"))
+def failure_classes(
+    ledger: DataFrame, rule_set: str = "monitor", top: int | None = None, detail_chars: int | None = rules.DETAIL_PREFIX_CHARS
+) -> DataFrame:
+    counts = _most_common(failed(ledger), classify_error("error", rule_set, detail_chars).alias("error_class"))
     return counts if top is None else counts.limit(top)
 
 

@@ -765,6 +765,39 @@ def oracle_sql() -> dict[str, str]:
         "SELECT file, line_number, event_type, current, total, percentage, new_downloads, files_per_sec, eta_hours, file_path, "
         "error_type, error_message, folder_path FROM fields",
     )
+    # every field straight from the numbers the lines are made of
+    put(
+        "parse_log_fields_all_types",
+        "",
+        """WITH kinds AS (SELECT event_id AS line_id, user_id AS u, event_id % 10 AS k, strftime(ts, '%Y-%m-%d %H:%M:%S,%g') AS stamp FROM events),
+        typed AS (SELECT *, ['turbo_progress', 'speed', 'eta', 'download_success', 'download_failed', 'auth_token', 'folder_processing',
+            'turbo_mode', 'resume', 'unknown'][CAST(k + 1 AS INT)] AS event_type FROM kinds)
+        SELECT line_id, event_type,
+        CASE WHEN k = 0 THEN line_id END AS current,
+        CASE WHEN k IN (0, 8) THEN line_id + u END AS total,
+        CASE WHEN k = 0 THEN CAST(12.5 AS DOUBLE) END AS percentage,
+        CASE WHEN k = 0 THEN u END AS new_downloads,
+        CASE WHEN k = 1 THEN CAST(u % 40 + 0.25 AS DOUBLE) END AS files_per_sec,
+        CASE WHEN k = 2 THEN CAST(u % 90 + 0.75 AS DOUBLE) END AS eta_hours,
+        CASE k WHEN 3 THEN 'P1/f' || line_id || '.pdf' WHEN 4 THEN 'P2/f' || line_id || '.pdf' END AS file_path,
+        CASE WHEN k = 4 THEN 'Attempt ' || (u % 3 + 1) END AS error_type,
+        CASE WHEN k = 4 THEN 'HTTP 429' END AS error_message,
+        CASE WHEN k = 6 THEN 'dir' || u || '/' END AS folder_path,
+        CASE WHEN k = 7 THEN u % 64 + 1 END AS workers,
+        CASE WHEN k = 8 THEN line_id END AS resume_from,
+        CASE CAST(k AS INT)
+            WHEN 0 THEN 'Progress: 12.5% (' || format('{:,}', line_id) || '/' || format('{:,}', line_id + u) || ')'
+            WHEN 1 THEN 'Speed: ' || printf('%.1f', u % 40 + 0.3) || ' files/sec'
+            WHEN 2 THEN stamp || ' - INFO - ⏰ ETA: ' || (u % 90) || '.75 hours'
+            WHEN 3 THEN 'Downloaded: f' || line_id || '.pdf'
+            WHEN 4 THEN 'Failed: f' || line_id || '.pdf - Attempt ' || (u % 3 + 1)
+            WHEN 5 THEN stamp || ' - INFO - 🔐 Worker ' || u || ': Authenticating'
+            WHEN 6 THEN stamp || ' - INFO - 📁 Processing folder: dir' || u || '/'
+            WHEN 7 THEN 'Started with ' || (u % 64 + 1) || ' workers'
+            WHEN 8 THEN 'Resumed from file ' || format('{:,}', line_id)
+            ELSE stamp || ' - INFO - Waiting for worker ' || u END AS summary
+        FROM typed""",
+    )
     put(
         "parse_log_fields_first_colon",
         "fields",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate.functions import classify, measures, paths
+from estate.functions import classify, loglines, measures, paths
 from estate.operators import hierarchy, inventory, ledger, logs, planning, progress
 from estate.operators import reconcile as matching
 from estate.plans import stored, tables as t
@@ -627,6 +627,12 @@ def parse_log_fields(spark, d):
     return _fields(spark, d).select("file", "line_number", "event_type", *_FIELD_COLUMNS)
 
 
+@query
+def parse_log_fields_all_types(spark, d):
+    rows = logs.parse_log_fields(t.all_log_lines(spark, d))
+    return rows.select("line_id", "event_type", *_FIELD_COLUMNS, "workers", "resume_from", loglines.event_summary().alias("summary"))
+
+
 @query
 def parse_log_fields_first_colon(spark, d):
     rows = logs.parse_log_fields(t.log_lines(spark, d), failed_mode="first_colon")

@@ -172,6 +172,29 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "events").select(*log_columns())
 
 
+def all_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``line_id, raw_line`` over ``events``: each of the nine event types by turns, and lines of none."""
+    eid, user = F.col("event_id"), F.col("user_id")
+    text = lambda c: c.cast("string")
+    kinds = [
+        F.concat(F.lit("🔥 TURBO Progress: "), text(eid), F.lit("/"), text(eid + user), F.lit(" (12.5%) - "), text(user), F.lit(" new downloads")),
+        F.concat(F.lit("🚀 Speed: "), text(user % 40), F.lit(".25 files/sec | ETA: 2.5 hours")),
+        F.concat(F.lit("⏰ ETA: "), text(user % 90), F.lit(".75 hours")),
+        F.concat(F.lit("✅ Downloaded: P1/f"), text(eid), F.lit(".pdf")),
+        F.concat(F.lit("❌ Attempt "), text(user % 3 + 1), F.lit(" failed for P2/f"), text(eid), F.lit(".pdf: HTTP 429")),
+        F.concat(F.lit("🔐 "), F.lit("Worker "), text(user), F.lit(": Authenticating")),
+        F.concat(F.lit("📁 Processing folder: dir"), text(user), F.lit("/")),
+        F.concat(F.lit("🚀 TURBO MODE: Using "), text(user % 64 + 1), F.lit(" parallel workers")),
+        F.concat(F.lit("📂 TURBO: Resuming from file "), text(eid), F.lit("/"), text(eid + user)),
+        F.concat(F.lit("Waiting for worker "), text(user)),
+    ]
+    message = F.element_at(F.array(*kinds), (eid % len(kinds) + 1).cast("int"))
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS")
+    # generated, as in log_columns
+    line = F.explode(F.array(F.concat(stamp, F.lit(" - INFO - "), message)))
+    return load(spark, sf_dir, "events").select(eid.alias("line_id"), line.alias("raw_line"))
+
+
 def log_columns() -> list[Column]:
     """``file, line_number, raw_line`` over ``events``, in batch or streaming: files of 1000 lines."""
     eid, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")

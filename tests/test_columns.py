@@ -114,6 +114,13 @@ CLASSES = [
 ]
 
 
+def test_detail_of_any_length(spark):
+    late = ["x" * 50 + "1: a", "x" * 50 + "2: a", None]
+    assert values(spark, late, classify.classify_error("x", "insight_detail"))[:2] == ["x" * 50] * 2
+    whole = values(spark, late, classify.classify_error("x", "insight_detail", detail_chars=None))
+    assert whole[:2] == ["x" * 50 + "1", "x" * 50 + "2"]
+
+
 @pytest.mark.parametrize("i,rule_set", list(enumerate(["log", "monitor", "insight", "insight_detail"])))
 def test_classify_error(spark, i, rule_set):
     got = values(spark, [c[0] for c in CLASSES], classify.classify_error("x", rule_set))
