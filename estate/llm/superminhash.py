@@ -213,9 +213,12 @@ def near_duplicates(
 
     # sets by bucket, each from one of its texts, only of buckets that hold two or more
     bucketed = signed.filter(usable).join(classes.select(F.col("_class").alias("_id"), F.col("_set").alias("_s")), "_id").filter("_set = _s")
-    entries = bucketed.select(F.explode("_bands").alias("bucket"), F.col("_set").alias("a")).distinct()
-    hubs = entries.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "a").alias("h"), "a"))["a"].alias("hub"), F.count(F.lit(1)).alias("n"))
-    shared = durable(entries.join(durable(hubs.filter("n > 1")), "bucket").select("bucket", "a", "hub"))
+    entries = bucketed.select(F.explode("_bands").alias("bucket"), F.col("_set").alias("a"))
+    # most buckets hold one set: they are counted by number alone, and only sets of the others are told apart and given a hub
+    crowded = durable(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket"))
+    together = durable(entries.join(crowded, "bucket", "left_semi")).distinct()
+    hubs = together.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "a").alias("h"), "a"))["a"].alias("hub"), F.count(F.lit(1)).alias("n"))
+    shared = durable(together.join(durable(hubs.filter("n > 1")), "bucket").select("bucket", "a", "hub"))
     pair = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     wanted = durable(shared.select(F.col("a").alias("_set")).distinct().join(classes, "_set"))
