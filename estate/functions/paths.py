@@ -20,7 +20,7 @@ def normalize_path(path: Column | str, url: bool = False) -> Column:
     p = _col(path)
     odd = F.contains(p, F.lit("\\")) | F.contains(p, F.lit("//"))
     flat = F.when(odd, F.regexp_replace(F.replace(p, F.lit("\\"), F.lit("/")), "/+", "/")).otherwise(p)
-    return F.regexp_replace(flat, "^/|/$" if url else "^/", "")
+    return F.regexp_replace(flat, "^/|/$", "") if url else F.ltrim(flat, F.lit("/"))
 
 
 #: a column that holds normalised paths, where a table keeps them
@@ -32,9 +32,14 @@ def path_key(df: DataFrame, path: str = "path") -> Column:
     return F.col(PATH_KEY) if PATH_KEY in df.columns else normalize_path(path)
 
 
-def same_path(path: Column | str, normalized: Column | str) -> Column:
-    """Join condition: a path, however it is written, names the normalised one, whose partitioning the join can re-use."""
-    return normalize_path(path) == _col(normalized)
+def keyed_by_path(df: DataFrame, path: str, key: str = "_key") -> DataFrame:
+    """``df`` with what names its files as a column ``key`` to join on.
+
+    It is generated, not projected: a join would take a projected one for its expression, and its sort derive that again for every two rows compared.
+    """
+    if PATH_KEY in df.columns:
+        return df.withColumn(key, F.col(PATH_KEY))
+    return df.select("*", F.explode(F.array(normalize_path(path))).alias(key))
 
 
 def file_name(path: Column | str) -> Column:

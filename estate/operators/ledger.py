@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from estate.functions import measures, rules
 from estate.functions.classify import classify_error, error_prefix
 from estate.functions.measures import gb, mb, ratio
-from estate.functions.paths import normalize_path, path_key, same_path
+from estate.functions.paths import keyed_by_path, normalize_path, path_key
 
 SUCCESS = "success"
 
@@ -211,7 +211,7 @@ def retry_plan(ledger: DataFrame, manifest: DataFrame) -> DataFrame:
     url = F.coalesce(F.col("_url"), F.lit(""))
     stale = (url == "") | F.contains(F.coalesce(F.col("error"), F.lit("")), F.lit("401"))
     action = F.when(stale & F.col("_id").isNull(), "skip_no_id").when(stale, "refresh_url").otherwise("retry_as_is")
-    return failed(ledger).join(listed, same_path("path", "_listed"), "left").select(
+    return keyed_by_path(failed(ledger), "path").join(listed, F.col("_key") == F.col("_listed"), "left").select(
         "path",
         "attempt",
         "error",
@@ -225,7 +225,7 @@ def retry_plan(ledger: DataFrame, manifest: DataFrame) -> DataFrame:
 def merge_retry(ledger: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Replace the rows of the retried paths that are no success by their new outcomes; all others stay."""
     retried = outcomes.select(normalize_path("path").alias("_retried")).distinct()
-    kept = ledger.join(retried, same_path("path", "_retried"), "left").filter(_is_success() | F.col("_retried").isNull()).select(*ledger.columns)
+    kept = keyed_by_path(ledger, "path").join(retried, F.col("_key") == F.col("_retried"), "left").filter(_is_success() | F.col("_retried").isNull()).select(*ledger.columns)
     return kept.unionByName(outcomes, allowMissingColumns=True)
 
 

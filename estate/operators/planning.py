@@ -95,13 +95,13 @@ def sync_plan(source: DataFrame, target: DataFrame) -> DataFrame:
         .when(F.col(MODIFIED) > F.col("target_ts"), "overwrite")
         .otherwise("skip")
     )
-    return source.join(there, paths.same_path(PATH, "_there"), "left").select(PATH, SIZE, action.alias("action"))
+    return paths.keyed_by_path(source, PATH).join(there, F.col("_key") == F.col("_there"), "left").select(PATH, SIZE, action.alias("action"))
 
 
 def new_files(latest: DataFrame, previous: DataFrame, key: str = "path") -> DataFrame:
     """Rows of the latest listing whose path the previous one does not name."""
     known = previous.select(paths.normalize_path(key).alias("_known")).distinct()
-    return latest.join(known, paths.same_path(key, "_known"), "left_anti")
+    return paths.keyed_by_path(latest, key).join(known, F.col("_key") == F.col("_known"), "left_anti").drop("_key")
 
 
 def migration_ready(manifest: DataFrame, files: DataFrame) -> DataFrame:

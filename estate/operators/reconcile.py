@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from estate.functions import rules
 from estate.functions.measures import gb, ratio
-from estate.functions.paths import normalize_path, path_key, same_path
+from estate.functions.paths import keyed_by_path, normalize_path, path_key
 from estate.operators.ledger import SUCCESS, dedupe_latest, succeeded
 
 PATH, SIZE, MODIFIED = "relative_path", "size_bytes", "modified_ts"
@@ -33,12 +33,12 @@ def remaining_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
 
     A side that is stored by path (``sources.path_ledger``) is not shuffled.
     """
-    return files.join(completed_paths(ledger), path_key(files, PATH) == F.col("_done"), "left_anti")
+    return keyed_by_path(files, PATH).join(completed_paths(ledger), F.col("_key") == F.col("_done"), "left_anti").drop("_key")
 
 
 def already_done(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Inventory rows with a success, as skipped outcomes."""
-    done = files.join(completed_paths(ledger), path_key(files, PATH) == F.col("_done"), "left_semi")
+    done = keyed_by_path(files, PATH).join(completed_paths(ledger), F.col("_key") == F.col("_done"), "left_semi")
     return done.select(
         F.col(PATH).alias("path"), F.lit(SUCCESS).alias("status"), F.lit(True).alias("skipped"), F.col(SIZE)
     )
@@ -111,7 +111,7 @@ def rebuild_ledger(manifest: DataFrame, disk: DataFrame) -> DataFrame:
     """A new ledger from the listing and what is on disk: one row per listed row."""
     present = disk.select(normalize_path(PATH).alias("_found")).distinct()
     found = F.col("_found").isNotNull()
-    return manifest.join(present, same_path("path", "_found"), "left").select(
+    return keyed_by_path(manifest, "path").join(present, F.col("_key") == F.col("_found"), "left").select(
         "path",
         F.when(found, F.lit(SUCCESS)).otherwise(F.lit("pending")).alias("status"),
         F.when(found, F.coalesce("size", F.lit(0))).cast("bigint").alias(SIZE),

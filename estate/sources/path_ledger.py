@@ -92,7 +92,7 @@ class PathLedger:
             *[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.columns.fields],
             normalize_path("path").alias(PATH_KEY), F.lit(1).cast("bigint").alias(ENTRIES),
         )
-        self._write(self._combined(given.filter(F.col(PATH_KEY).isNotNull())).repartition(self.buckets, PATH_KEY), self.version(), append_id)
+        self._write(self._combined(given.filter(F.col("path").isNotNull())).repartition(self.buckets, PATH_KEY), self.version(), append_id)
 
     def rows(self) -> DataFrame:
         """All rows of the ledger; operators that go by ``path_key`` shuffle none of them."""
