@@ -16,13 +16,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from estate.llm.prefix_tokens import _with
-from estate.llm.words import fresh, string_buffers, text_slices
+from estate.llm.words import SLICE_BYTES, drop_model, string_buffers, text_slices
 from estate.operators.ordering import top_n_per_group
 
-#: longest context in bytes
+#: longest context in bytes; a gram is one byte more, which is what 32 bits hold
 ORDER = 3
 UNKNOWN = "und"
 
+#: bytes of text that are worked on at once
+_SLICE = SLICE_BYTES // 2
+
 #: letters and bytes of other scripts count, A-Z as a-z; every other ASCII byte is a space
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -41,11 +44,11 @@ class Tree:
     @classmethod
     def of(cls, grams: np.ndarray, counts: np.ndarray) -> Tree:
         """From counts of the distinct ``ORDER + 1``-byte grams of the training texts."""
-        tree = cls()
+        tree, grams = cls(), grams.astype(np.uint32, copy=False)
         for order in range(ORDER + 1):
-            short, back = np.unique(grams & np.uint64((1 << 8 * (order + 1)) - 1), return_inverse=True)
+            short, back = np.unique(grams & np.uint32((1 << 8 * (order + 1)) - 1), return_inverse=True)
             n = np.bincount(back, counts, len(short))
-            contexts, where = np.unique(short >> np.uint64(8), return_inverse=True)
+            contexts, where = np.unique(short >> np.uint32(8), return_inverse=True)
             total, distinct = np.bincount(where, n), np.bincount(where)
             tree.contexts.append(contexts)
             tree.escape.append(np.log2((total + distinct) / distinct))
@@ -57,14 +60,14 @@ class Tree:
         """Cost in bits of the last byte of each gram after the bytes before it."""
         out, open_ = np.zeros(len(grams)), np.arange(len(grams))
         for order in range(ORDER, -1, -1):
-            now = grams[open_] & np.uint64((1 << 8 * (order + 1)) - 1)
+            now = grams[open_] & np.uint32((1 << 8 * (order + 1)) - 1)
             at = np.minimum(np.searchsorted(self.grams[order], now), len(self.grams[order]) - 1)
             hit = self.grams[order][at] == now
             out[open_[hit]] += self.cost[order][at[hit]]
             open_, now = open_[~hit], now[~hit]
             if not len(open_):
                 return out
-            context = now >> np.uint64(8)
+            context = now >> np.uint32(8)
             at = np.minimum(np.searchsorted(self.contexts[order], context), len(self.contexts[order]) - 1)
             known = self.contexts[order][at] == context
             out[open_[known]] += self.escape[order][at[known]]
@@ -82,17 +85,27 @@ def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw = _FOLD[raw]
     kept = raw != 0x20
     kept[1:] |= raw[:-1] != 0x20
-    bounds = np.r_[0, np.cumsum(kept)][bounds]
+    sizes = _sums(kept, bounds, np.int64)
     raw = raw[kept]
-    n = len(bounds) - 1
-    padded = np.full(len(raw) + ORDER * n, 0x20, np.uint8)
-    shift = np.repeat(np.arange(1, n + 1) * ORDER, np.diff(bounds))
-    place = np.arange(len(raw)) + shift
-    padded[place] = raw
-    gram = np.zeros(len(raw), np.uint64)
-    for back in range(ORDER, -1, -1):
-        gram = gram << np.uint64(8) | padded[place - back]
-    return gram, bounds
+    bounds = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=bounds[1:])
+    # ORDER spaces before each text
+    text = np.ones(len(raw) + ORDER * len(sizes), bool)
+    text[(bounds[:-1] + ORDER * np.arange(len(sizes)))[:, None] + np.arange(ORDER)] = False
+    padded = np.full(len(text), 0x20, np.uint32)
+    padded[text] = raw
+    gram = padded.copy()
+    for back in range(1, ORDER + 1):
+        gram[back:] |= padded[:-back] << np.uint32(8 * back)
+    return gram[text], bounds
+
+
+def _sums(values: np.ndarray, bounds: np.ndarray, dtype: type) -> np.ndarray:
+    """Sums of ``values[bounds[i]:bounds[i + 1]]``, each of its own values alone, without an array as long as ``values``."""
+    out, some = np.zeros(len(bounds) - 1, dtype), np.flatnonzero(np.diff(bounds))
+    if len(some):
+        out[some] = np.add.reduceat(values, bounds[some], dtype=dtype)
+    return out
 
 
 def fit(labelled: DataFrame, max_documents: int = 500, max_bytes: int = 200_000) -> dict[str, Tree]:
@@ -116,20 +129,21 @@ def fit(labelled: DataFrame, max_documents: int = 500, max_bytes: int = 200_000)
     sample = every.join(F.broadcast(chosen), ["doc_id", "lang", "_n"], "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_model()
         for batch in batches:
-            langs = np.array(batch.column("lang").to_pylist(), object)
-            for lang in dict.fromkeys(langs):
-                grams, _ = _grams(batch.column("text").filter(pa.array(langs == lang)))
-                gram, n = np.unique(grams, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(gram), pa.string()), pa.array(gram.astype(np.int64)), pa.array(n, pa.int64())], names=["lang", "gram", "n"]
-                )
+            for part in text_slices(batch, limit=_SLICE):
+                langs = np.array(part.column("lang").to_pylist(), object)
+                for lang in dict.fromkeys(langs):
+                    gram, n = np.unique(_grams(part.column("text").filter(pa.array(langs == lang)))[0], return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(gram), pa.string()), pa.array(gram.astype(np.int64)), pa.array(n, pa.int64())], names=["lang", "gram", "n"]
+                    )
 
     counted = sample.select("lang", "text").mapInArrow(count, "lang string, gram bigint, n bigint")
     total = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rows = top_n_per_group(total, ["lang"], [F.col("n").desc(), "gram"], max_bytes, salt_on="gram").toArrow()
     langs = np.array(rows["lang"].to_pylist(), object)
-    gram, n = rows["gram"].to_numpy().astype(np.uint64), rows["n"].to_numpy().astype(float)
+    gram, n = rows["gram"].to_numpy().astype(np.uint32), rows["n"].to_numpy().astype(float)
     return {lang: Tree.of(gram[langs == lang], n[langs == lang]) for lang in sorted(set(langs))}
 
 
@@ -141,33 +155,35 @@ def predict(docs: DataFrame, trees: dict[str, Tree]) -> DataFrame:
     point; repeated rows stay; an empty table gives an empty result.
     """
     keep = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    at = fresh(docs, "_text")
+    at = "text" if "text" in keep else next(c for c in keep if c.lower() == "text")
     names = sorted(trees)
     model = docs.sparkSession.sparkContext.broadcast([trees[n] for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_model()
         for batch in batches:
-            for part in text_slices(batch, at):
-                texts = part.column(at)
-                grams, bounds = _grams(texts)
-                letters = np.array([t is not None and any(map(str.isalpha, t)) for t in texts.to_pylist()], bool)
-                best, score = np.zeros(len(letters), np.int64), np.zeros(len(letters))
-                if names:
-                    unique, back = np.unique(grams, return_inverse=True)
-                    bits = np.empty((len(names), len(letters)))
-                    for i, tree in enumerate(model.value):
-                        total = np.r_[0.0, np.cumsum(tree.bits(unique)[back])]
-                        bits[i] = total[bounds[1:]] - total[bounds[:-1]]
-                    best = bits.argmin(axis=0)
-                    score = 1 / np.exp2(bits.min(axis=0) - bits).sum(axis=0)
-                known = letters & bool(names)
-                lang = np.where(known, np.array([*names, UNKNOWN], object)[best], UNKNOWN)
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(np.where(known, score, 0.0))],
-                    names=[*keep, "lang_pred", "score"],
-                )
-
-    return docs.select(*keep, F.col("text").alias(at)).mapInArrow(run, _with(docs.select(*keep).schema, "lang_pred string, score double"))
+            for part in text_slices(batch, at, _SLICE):
+                lang, score = _best(part.column(at), names, model.value)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), lang, score], names=[*keep, "lang_pred", "score"])
+
+    return docs.select(*keep).mapInArrow(run, _with(docs.select(*keep).schema, "lang_pred string, score double"))
+
+
+def _best(texts: pa.Array, names: list[str], trees: list[Tree]) -> tuple[pa.Array, pa.Array]:
+    """Language and score of each text.  What it makes on the way, some 25 bytes a byte of text, is gone when it returns."""
+    known = np.array([t is not None and any(map(str.isalpha, t)) for t in texts.to_pylist()], bool) & bool(names)
+    best, score = np.zeros(len(known), np.int64), np.zeros(len(known))
+    if names:
+        grams, bounds = _grams(texts)
+        unique = np.unique(grams)
+        back = np.searchsorted(unique, grams)
+        bits = np.empty((len(names), len(known)))
+        for i, tree in enumerate(trees):
+            bits[i] = _sums(tree.bits(unique)[back], bounds, np.float64)
+        best = bits.argmin(axis=0)
+        score = 1 / np.exp2(bits.min(axis=0) - bits).sum(axis=0)
+    lang = np.where(known, np.array([*names, UNKNOWN], object)[best], UNKNOWN)
+    return pa.array(lang, pa.string()), pa.array(np.where(known, score, 0.0))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -65,6 +65,11 @@ def worker_model(build: Callable, *key):
     return _model[name]
 
 
+def drop_model() -> None:
+    """For tasks that need none: what another operator has left in the worker goes before they start."""
+    _model.clear()
+
+
 def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit fingerprints of ``values[start:end]``: a polynomial modulo 2**64, then mixed with the length."""
     total = np.zeros(len(values) + 1, np.uint64)
